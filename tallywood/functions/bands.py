@@ -27,6 +27,19 @@ def band_of(age: Column, bands: tuple[tuple[str, int | None], ...]) -> Column:
     return F.when(age.isNotNull(), label)
 
 
+def band_conditions(
+    age: Column, bands: tuple[tuple[str, int | None], ...]
+) -> dict[str, Column]:
+    """One condition per band; at most one of them holds."""
+    conditions, above = {}, None
+    for name, highest in bands:
+        parts = [] if above is None else [age > above]
+        parts += [] if highest is None else [age <= highest]
+        conditions[name] = parts[0] if len(parts) == 1 else parts[0] & parts[1]
+        above = highest
+    return conditions
+
+
 def delivery_status(days: Column) -> Column:
     """Early, on time or late; an unknown difference counts as late."""
     return F.when(days < 0, EARLY).when(days == 0, ON_TIME).otherwise(LATE)

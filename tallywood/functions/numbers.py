@@ -27,4 +27,4 @@ def round_half_even(value: Column, digits: int = 2) -> Column:
 
 def fixed_half_up(value: Column, digits: int = 2) -> Column:
     """Text with a fixed number of digits, ties of the printed value rounded away from zero."""
-    return F.format_string(f"%.{digits}f", value)
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value))

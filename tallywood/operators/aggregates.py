@@ -20,10 +20,11 @@ def combined(partial: DataFrame, *keys: str) -> DataFrame:
 
 
 def with_mean(partial: DataFrame, mean: str, n: str) -> DataFrame:
-    """Sum and count replaced by mean and count."""
-    return partial.withColumn(mean, mean_of(F.col(TOTAL), F.col(COUNT))).withColumnRenamed(
-        COUNT, n
-    ).drop(TOTAL)
+    """Sum and count replaced by mean and count, after the other columns."""
+    others = [c for c in partial.columns if c not in (TOTAL, COUNT)]
+    return partial.select(
+        *others, mean_of(F.col(TOTAL), F.col(COUNT)).alias(mean), F.col(COUNT).alias(n)
+    )
 
 
 def mean_and_count(df: DataFrame, *keys: str, value: str, mean: str, n: str) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more than HOT_SHARE of the rows is cut into pieces of about that share each.
-# There are at most 1 / HOT_SHARE such keys and 2 / HOT_SHARE pieces in total, whatever the
-# size of the data. TRACKED bounds the sketch of one task and its error (about 0.0002).
+from tallywood.session import materialize
+
+# A key with more than HOT_SHARE of the rows is cut into pieces of about that share each: at
+# most about 1 / HOT_SHARE keys and 2 / HOT_SHARE pieces, whatever the size of the data.
+# TRACKED bounds a sketch and its error (about 0.0002); GROUPS bounds the number of sketches.
 HOT_SHARE = 0.0005
 TRACKED = 8192
-SKETCH_GROUPS = 256
+GROUPS = 256
 
 _PIECES, _PIECE = "__pieces", "__piece"
 
@@ -25,28 +27,34 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
+def fits_broadcast(dim: DataFrame, limit: int | None = None) -> bool:
+    return estimated_bytes(dim) <= (broadcast_limit(dim) if limit is None else limit)
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys with more than their share of the rows: ``key, __pieces``, at most 2,000 rows.
+    """Keys with more than their share of the rows and their number of pieces.
 
-    Frequent-item sketches are merged in two rounds, so no task sees more than a few hundred
-    of them. A key that the sketch misses or misjudges changes the work of a task, not a result.
+    Each group of read partitions keeps a bounded sketch of its frequent keys; the counts of a
+    key are then added up over the groups. A key that a sketch misses or misjudges changes the
+    work of a task, not a result. The counts are written once, so that every reader of the
+    returned table sees the same pieces.
     """
-    sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g")).agg(
-        F.expr(f"approx_top_k_accumulate({key}, {TRACKED})").alias("sketch"),
+    groups = df.where(F.col(key).isNotNull()).groupBy(
+        (F.spark_partition_id() % GROUPS).alias("g")
+    ).agg(
+        F.expr(f"approx_top_k({key}, {int(1 / HOT_SHARE)}, {TRACKED})").alias("top"),
         F.count("*").alias("n"),
     )
-    merged = sketches.agg(
-        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"), F.sum("n").alias("n")
-    )
-    most = int(1 / HOT_SHARE)
-    items = merged.select(
-        F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"), "n"
-    )
-    share = F.col("top.count") / F.col("n")
-    return (
-        items.where(F.col("top.item").isNotNull() & (share > HOT_SHARE))
-        .select(F.col("top.item").alias(key), F.ceil(share / HOT_SHARE).cast("int").alias(_PIECES))
-    )
+    frequent = F.filter("top", lambda t: t["count"] > F.col("n") * HOT_SHARE / 4)
+    no_key = F.lit(None).cast(df.schema[key].dataType)
+    all_rows = F.array(F.struct(no_key.alias("item"), F.col("n").alias("count")))
+    seen = groups.select(F.inline(F.concat(frequent, all_rows)))
+    counts = materialize(seen.groupBy("item").agg(F.sum("count").alias("n")))
+
+    total = counts.where(F.col("item").isNull()).select("n").scalar()
+    pieces = F.ceil(F.col("n") / total / HOT_SHARE).cast("int")
+    hot = counts.where(F.col("item").isNotNull() & (F.col("n") > total * HOT_SHARE))
+    return hot.select(F.col("item").alias(key), pieces.alias(_PIECES))
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -55,7 +63,8 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner")
     Facts of a hot key get the number of a piece, taken from the partition they were read in;
     the matching dimension rows are repeated once per piece. Every fact row meets each of its
     dimension rows exactly once. Facts without a key are spread as well (outer and anti joins
-    keep them).
+    keep them). The key column of the facts is read one more time, by a job of its own, to find
+    the hot keys.
     """
     hot = F.broadcast(hot_keys(facts.select(key), key))
     partition = F.spark_partition_id()
@@ -78,10 +87,9 @@ def lookup_join(
     A dimension within the broadcast limit leaves the facts where they are; Spark makes that
     choice from the same estimate. Beyond the limit both sides are shuffled with hot keys split.
     """
-    limit = broadcast_limit(facts) if limit is None else limit
-    if estimated_bytes(dim) <= limit:
-        return facts.join(dim, key, how)
-    return salted_join(facts, dim, key, how)
+    join = DataFrame.join if fits_broadcast(dim, limit) else salted_join
+    added = [] if how == "left_anti" else [c for c in dim.columns if c != key]
+    return join(facts, dim, key, how).select(*facts.columns, *added)
 
 
 def one_row_per_key(dim: DataFrame, key: str, value: str, position: str = "position") -> DataFrame:

@@ -13,7 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.functions.bands import FOUR_BANDS, SEVEN_BANDS, band_of, label_or, same_letter
+from tallywood.functions.bands import (
+    FOUR_BANDS,
+    SEVEN_BANDS,
+    band_conditions,
+    band_of,
+    label_or,
+    same_letter,
+)
 from tallywood.functions.dates import epoch_year
 from tallywood.functions.numbers import round_half_even
 from tallywood.operators.aggregates import (
@@ -35,6 +42,7 @@ MEAN, N = "avg_rating", "n_ratings"
 # occupations that a lookup does not find.
 MIN_RATINGS = 5
 UNKNOWN_ITEM = ("Unknown(", ")")
+UNTITLED = "Unknown Title"
 UNKNOWN_OCCUPATION = "OccupationID_"
 
 
@@ -61,6 +69,23 @@ def best_item(ratings: DataFrame, items: DataFrame, min_ratings: int = MIN_RATIN
     return first_row(mean_by_item(ratings, items, min_ratings), order)
 
 
+def mean_of_every_item(ratings: DataFrame, items: DataFrame) -> DataFrame:
+    """``item_id, title, avg_rating, n_ratings`` of every rated item, the mean unrounded.
+
+    Items come in the byte order of their id as text, and share one label where untitled.
+    """
+    titles = one_row_per_key(items, "item_id", "title")
+    means = with_mean(totals(ratings, "item_id"), MEAN, N).join(titles, "item_id", "left")
+    title = F.coalesce(F.col("title"), F.lit(UNTITLED)).alias("title")
+    return means.select("item_id", title, MEAN, N).orderBy(F.col("item_id").cast("string"))
+
+
+def best_of_every_item(means: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
+    """The highest unrounded mean among items with enough ratings; ties go to the first id."""
+    enough = means.where(F.col(N) >= min_ratings)
+    return first_row(enough, [F.desc(MEAN), F.col("item_id").cast("string")])
+
+
 def mean_by_genre(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """``genre, avg_rating, n_ratings``; an item counts in each of its genres."""
     per_item = totals(ratings, "item_id").join(items.select("item_id", "genres"), "item_id")
@@ -102,22 +127,28 @@ def gender_side_by_side(ratings: DataFrame, users: DataFrame, items: DataFrame)
 
 def age_bands_side_by_side(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """``title`` and one mean per age band of four, null where a band has not rated it."""
-    labels = [label for label, _ in FOUR_BANDS]
-    band = band_of(F.col("age"), FOUR_BANDS)
-    cells = _by_title(ratings, users, items, "age", {label: band == label for label in labels})
-    means = [cell_mean(label).alias(label) for label in labels]
+    conditions = band_conditions(F.col("age"), FOUR_BANDS)
+    cells = _by_title(ratings, users, items, "age", conditions)
+    means = [cell_mean(label).alias(label) for label in conditions]
     return cells.select("title", *means).orderBy("title")
 
 
+def mean_by_item_band(ratings: DataFrame, users: DataFrame) -> DataFrame:
+    """``item_id, band, avg_rating, n_ratings``, one row per item and age band of seven."""
+    rated = _with_user(ratings, users, "age")
+    banded = rated.select("item_id", band_of(F.col("age"), SEVEN_BANDS).alias("band"), "score")
+    means = mean_and_count(banded, "item_id", "band", value="score", mean=MEAN, n=N)
+    return means.orderBy("item_id", "band")
+
+
 def age_band_table(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """One row per item: mean and count (``<band> avg``, ``<band> n``) for each band of seven."""
-    labels = [label for label, _ in SEVEN_BANDS]
-    band = band_of(F.col("age"), SEVEN_BANDS)
+    conditions = band_conditions(F.col("age"), SEVEN_BANDS)
     rated = _with_user(ratings, users, "age")
-    cells = rated.groupBy("item_id").agg(*cell_totals({x: band == x for x in labels}))
+    cells = rated.groupBy("item_id").agg(*cell_totals(conditions))
     named = cells.join(items.select("item_id", "title"), "item_id")
     columns = []
-    for label in labels:
+    for label in conditions:
         columns.append(cell_mean(label).alias(f"{label} avg"))
         columns.append(F.col(f"{label}{COUNT}").alias(f"{label} n"))
     return named.select("item_id", "title", *columns).orderBy("item_id")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallywood.functions.text import clean, words
 from tallywood.operators.aggregates import rows_per
-from tallywood.operators.joins import lookup_join
+from tallywood.operators.joins import fits_broadcast, lookup_join
 from tallywood.operators.ranking import first_row, nested_top_n
 
 # A word is frequent above this count; so many words are listed per category.
@@ -67,9 +67,14 @@ def category_word_counts(
     Tokens are counted per id and word, reviews per id and category, and the counts are
     multiplied. The sums are those of the many-to-many join, without its rows: an id meets
     each of its words and categories once, however often they occur.
+
+    A short list of stop words is applied to the tokens, a long one to the counts.
     """
+    listed_early = stop_words is not None and fits_broadcast(stop_words)
+    if listed_early:
+        tokens = without_stop_words(tokens, stop_words)
     word_counts = tokens.groupBy("id", "word").agg(F.count("*").alias("n_word"))
-    if stop_words is not None:
+    if stop_words is not None and not listed_early:
         word_counts = without_stop_words(word_counts, stop_words)
     review_counts = reviews.where(F.col("id").isNotNull()).groupBy("id", "category").agg(
         F.count("category").alias("n_review")

@@ -49,14 +49,18 @@ PEOPLE_SQL = """(SELECT camera_id, frame_id, CAST(len(list_filter(range(0, k % 5
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))"""
 
 
-def model(image: bytes) -> list[dict]:
-    """A stand-in model: boxes made from the number in the payload."""
-    k = json.loads(image)["k"]
-    return [
-        {"class_id": j % 2, "confidence": (k * 7 + j * 13) % 100 / 100,
-         "x1": 1.5 * j, "y1": 2.5 * j, "x2": 3.5 * j, "y2": 4.5 * j}
-        for j in range(k % 5)
-    ]
+def stand_in_model():
+    """Boxes made from the number in the payload; a local function travels to the workers whole."""
+
+    def model(image: bytes) -> list[dict]:
+        k = json.loads(image)["k"]
+        return [
+            {"class_id": j % 2, "confidence": (k * 7 + j * 13) % 100 / 100,
+             "x1": 1.5 * j, "y1": 2.5 * j, "x2": 3.5 * j, "y2": 4.5 * j}
+            for j in range(k % 5)
+        ]
+
+    return model
 
 
 def boxes(spark, d):
@@ -196,14 +200,14 @@ def stream_detect(spark, d):
     """Frames to results to stored results: two streams with a folder between them."""
     landing, path = fresh_dir(spark, "results"), fresh_dir(spark, "stored")
     frames = sources.frame_stream(spark, _frame_folder(spark, d))
-    streams.publish(detect_frames(frames, model), landing, _checkpoint(spark)).awaitTermination()
+    streams.publish(detect_frames(frames, stand_in_model()), landing, _checkpoint(spark)).awaitTermination()
     found = sources.result_stream(spark, landing)
     streams.store(found, path, _checkpoint(spark)).awaitTermination()
     return sources.read_results(spark, path, ("camera_id", "frame_id", "person_count"))
 
 
 def batch_detect(spark, d):
-    return detect_frames(views.frames(spark, d), model).select("camera_id", "frame_id", "person_count")
+    return detect_frames(views.frames(spark, d), stand_in_model()).select("camera_id", "frame_id", "person_count")
 
 
 FIELDS_SQL = "camera_id, frame_id, person_count, processing_time_ms, processed_timestamp"

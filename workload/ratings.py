@@ -54,6 +54,10 @@ SEVEN_SQL = "SELECT r.item_id, p.p_name AS title, " + ", ".join(
 ) + f""" FROM {RATINGS_SQL} r JOIN {USERS_SQL} u USING (user_id)
 JOIN part p ON p.p_partkey = r.item_id GROUP BY r.item_id, p.p_name"""
 
+BY_BAND_SQL = "SELECT item_id, CASE " + " ".join(f"WHEN {c} THEN '{b}'" for b, c in SEVEN.items()) + f""" END AS band,
+  sum(score) / count(*) AS avg_rating, count(*) AS n_ratings
+FROM {RATINGS_SQL} r JOIN {USERS_SQL} u USING (user_id) GROUP BY 1, 2"""
+
 BY_OCCUPATION_SQL = f"""SELECT occupation, sum(score) / count(*) AS avg_rating, count(*) AS n_ratings
 FROM (SELECT coalesce(g.r_name, 'OccupationID_' || CAST(u.occupation_id AS VARCHAR)) AS occupation, r.score
       FROM {RATINGS_SQL} r JOIN {USERS_SQL} u USING (user_id)
@@ -70,6 +74,10 @@ FROM (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s, count(*)
       FROM orders GROUP BY o_custkey HAVING count(*) >= 5) a
 LEFT JOIN supplier s ON s.s_suppkey = a.o_custkey"""
 
+EVERY_ITEM_SQL = """SELECT o.o_custkey AS item_id, coalesce(max(s.s_name), 'Unknown Title') AS title,
+  CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_rating, count(*) AS n_ratings
+FROM orders o LEFT JOIN supplier s ON s.s_suppkey = o.o_custkey GROUP BY o.o_custkey"""
+
 
 def by_item(spark, d):
     return plans.mean_by_item(views.item_ratings(spark, d), views.items(spark, d))
@@ -79,7 +87,7 @@ def best_item(spark, d):
     return plans.best_item(views.item_ratings(spark, d), views.items(spark, d))
 
 
-def unknown_items(spark, d):
+def _customer_ratings(spark, d):
     """Orders rate their customer; only some customer numbers are supplier numbers too."""
     rated = views.table(spark, d, "orders").select(
         F.col("o_custkey").alias("item_id"), exact(F.col("o_totalprice")).alias("score")
@@ -87,7 +95,11 @@ def unknown_items(spark, d):
     named = views.table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("item_id"), F.col("s_name").alias("title")
     )
-    return plans.mean_by_item(rated, named)
+    return rated, named
+
+
+def unknown_items(spark, d):
+    return plans.mean_by_item(*_customer_ratings(spark, d))
 
 
 def by_genre(spark, d):
@@ -114,6 +126,10 @@ def seven_bands(spark, d):
     return plans.age_band_table(*_all(spark, d))
 
 
+def by_item_band(spark, d):
+    return plans.mean_by_item_band(views.ratings(spark, d), views.users(spark, d))
+
+
 def by_occupation(spark, d):
     return plans.mean_by_occupation(views.ratings(spark, d), views.users(spark, d), views.codes(spark, d))
 
@@ -144,12 +160,17 @@ def band_report(spark, d):
     return reports.band_lines(seven_bands(spark, d))
 
 
+def every_item(spark, d):
+    """Orders rate their customer, as in ``unknown_items``, with one fixed label instead."""
+    return plans.mean_of_every_item(*_customer_ratings(spark, d))
+
+
 def item_sentences(spark, d):
-    return reports.item_key_values(by_item(spark, d))
+    return reports.item_key_values(every_item(spark, d))
 
 
 def best_sentence(spark, d):
-    return reports.best_item_key_value(best_item(spark, d))
+    return reports.best_item_key_value(plans.best_of_every_item(every_item(spark, d)))
 
 
 def genre_sentences(spark, d):
@@ -176,7 +197,7 @@ def _band_cell(band: str) -> str:
     """Padded to 21 characters; a longer cell keeps its length."""
     votes = f"""printf('%.2f', "{band} avg") || ' (' || CAST("{band} n" AS VARCHAR) || ' votes)'"""
     cell = f"""('{band}: ' || CASE WHEN "{band} n" > 0 THEN {votes} ELSE 'N/A' END)"""
-    return f"rpad({cell}, greatest(21, length({cell})), ' ')"
+    return f"rpad({cell}, CAST(greatest(21, length({cell})) AS INTEGER), ' ')"
 
 
 _band_cells = " || ' | ' || ".join(_band_cell(b) for b in SEVEN)
@@ -194,6 +215,7 @@ QUERIES = {
     "rating_segment_side_by_side": (side_by_side, SIDE_SQL),
     "rating_band_pivot4": (four_bands, FOUR_SQL),
     "rating_band_pivot7": (seven_bands, SEVEN_SQL),
+    "rating_mean_by_item_band": (by_item_band, BY_BAND_SQL),
     "rating_mean_by_code_label": (by_occupation, BY_OCCUPATION_SQL),
     "rating_mean_by_year": (by_year, BY_YEAR_SQL),
     "rating_union_files": (
@@ -217,15 +239,16 @@ QUERIES = {
         f"SELECT 'ID: ' || CASE WHEN item_id < 10000 THEN rpad(CAST(item_id AS VARCHAR), 4, ' ') "
         f"ELSE CAST(item_id AS VARCHAR) END || ' | ' || rpad(substr(title, 1, 35), 35, ' ') || ' | ' || {_band_cells} AS line "
         f"FROM ({SEVEN_SQL})"),
+    "rating_mean_every_item": (every_item, EVERY_ITEM_SQL),
     "key_value_items": (
         item_sentences,
-        "SELECT title AS key, 'Average rating: ' || printf('%.2f', avg_rating) || ' (Total ratings: ' "
-        f"|| CAST(n_ratings AS VARCHAR) || ')' AS value FROM ({BY_ITEM_SQL})"),
+        f"SELECT title AS key, 'Average rating: ' || {half_up_text('avg_rating')} || ' (Total ratings: ' "
+        f"|| CAST(n_ratings AS VARCHAR) || ')' AS value FROM ({EVERY_ITEM_SQL})"),
     "key_value_best_item": (
         best_sentence,
-        "SELECT title AS key, 'is the highest rated movie with an average rating of ' || printf('%.2f', avg_rating) "
-        f"|| ' among movies with at least 5 ratings.' AS value FROM ({BY_ITEM_SQL}) "
-        "ORDER BY avg_rating DESC, n_ratings DESC, title LIMIT 1"),
+        f"SELECT title AS key, 'is the highest rated movie with an average rating of ' || {half_up_text('avg_rating')} "
+        f"|| ' among movies with at least 5 ratings.' AS value FROM ({EVERY_ITEM_SQL}) WHERE n_ratings >= 5 "
+        "ORDER BY avg_rating DESC, CAST(item_id AS VARCHAR) LIMIT 1"),
     "key_value_genres": (
         genre_sentences,
         f"SELECT genre AS key, 'Avg: ' || {half_up_text('avg_rating')} || ',  Count: ' "

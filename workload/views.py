@@ -92,7 +92,8 @@ def turns(spark, sf_dir) -> DataFrame:
 
 
 def stop_words(spark) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    rows = ", ".join(f"('{w}')" for w in STOP_WORDS)
+    return spark.sql(f"SELECT word FROM VALUES {rows} AS t(word)")
 
 
 # Orders.
