@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace stripped from both ends of a field, and the accepted numerals.
+# Whitespace stripped from both ends of a field, and endings and prefixes with
+# which a cast would read more than a plain numeral.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029"
     "\u202f\u205f\u3000"
 )
-INTEGER_PATTERN = r"^[+-]?[0-9]+$"
-REAL_PATTERN = r"(?i)^[+-]?([0-9]+\.?[0-9]*([e][+-]?[0-9]+)?|\.[0-9]+([e][+-]?[0-9]+)?|nan|inf|infinity)$"
+NOT_A_NUMERAL = r"(?i)[0-9.][df]$|0x"
 
 
 def strip(text: Column) -> Column:
@@ -21,13 +21,13 @@ def strip(text: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    value = strip(text)
-    return F.when(value.rlike(INTEGER_PATTERN), value.try_cast("bigint"))
+    return strip(text).try_cast("bigint")
 
 
 def to_double(text: Column) -> Column:
+    """Decimal numerals, ``nan`` and ``inf``; type suffixes and hexadecimals do not count."""
     value = strip(text)
-    return F.when(value.rlike(REAL_PATTERN), value.try_cast("double"))
+    return F.when(~value.rlike(NOT_A_NUMERAL), value.try_cast("double"))
 
 
 def field(fields: Column, position: int) -> Column:

@@ -6,25 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The patterns that decide what counts as a word. (?U) makes \b treat accented
-# letters as part of a word on every JVM that Spark supports.
-LINE_BREAKS = r"[\r\n]+"
-NUMBER_WITH_UNIT = r"(?U)\b\p{N}+\p{L}*\b"
-NOT_LETTER_OR_SPACE = r"[^\p{L}\s]"
-TOKEN_DELIMITERS = r'[ ",()*]+'
+# letters as part of a word on every JVM that Spark supports; whitespace stays ASCII.
+NUMBER_WITH_UNIT = r"\b\p{N}+\p{L}*\b"
+NOT_LETTER_OR_SPACE = r"[^\p{L} \t\n\x0B\f\r]"
+TOKEN_DELIMITERS = r'[ \r\n",()*]+'
 
 
 def clean(text: Column) -> Column:
     """Lower-cased text without numbers, their attached units, or punctuation.
 
-    Punctuation is removed, not replaced by a space, so ``a,b`` becomes ``ab``. Line breaks
-    become spaces first: a record is one line.
+    Punctuation is removed, not replaced by a space, so ``a,b`` becomes ``ab``. Both patterns
+    are removed in one pass: neither can match across what the other takes out.
     """
-    one_line = F.regexp_replace(F.lower(text), LINE_BREAKS, " ")
-    return F.regexp_replace(
-        F.regexp_replace(one_line, NUMBER_WITH_UNIT, ""), NOT_LETTER_OR_SPACE, ""
-    )
+    removed = f"(?U){NUMBER_WITH_UNIT}|{NOT_LETTER_OR_SPACE}"
+    return F.regexp_replace(F.lower(text), removed, "")
 
 
 def words(cleaned: Column) -> Column:
-    """Array of tokens; it may hold empty strings at the ends, to be dropped after exploding."""
+    """Array of tokens; it may hold empty strings at the ends, to be dropped after exploding.
+
+    A record is one line, so line breaks inside a text separate words like spaces do.
+    """
     return F.split(cleaned, TOKEN_DELIMITERS, -1)

@@ -1,0 +1,20 @@
+"""Spreading of small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tallywood.operators.joins import estimated_bytes
+
+SMALL_BYTES = 64 * 1024 * 1024
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a small input over all cores, for work that is heavy per row.
+
+    A file of a few megabytes is often a single row group, which one task would read and
+    process alone. Larger inputs have splits enough and are left where they are.
+    """
+    if estimated_bytes(df) > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)

@@ -6,19 +6,23 @@ stop words ``word``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywood.functions.text import clean, words
 from tallywood.operators.aggregates import rows_per
 from tallywood.operators.joins import fits_broadcast, lookup_join
 from tallywood.operators.ranking import first_row, nested_top_n
+from tallywood.session import materialize
 
 # A word is frequent above this count; so many words are listed per category.
 FREQUENT_ABOVE = 500
 TOP_WORDS = 5
 POSITIVE, NEGATIVE = "positive", "negative"
 
+# Ids with more categories than this are counted by id and word.
+MOST_CATEGORIES = 64
+
 
 def tokens(reviews: DataFrame) -> DataFrame:
     """``id, word``: every word of the cleaned text, in no particular order."""
@@ -64,18 +68,15 @@ def category_word_counts(
 ) -> DataFrame:
     """``category, word, freq`` over all pairs of a token and a review with the same id.
 
-    Tokens are counted per id and word, reviews per id and category, and the counts are
-    multiplied. The sums are those of the many-to-many join, without its rows: an id meets
-    each of its words and categories once, however often they occur.
-
-    A short list of stop words is applied to the tokens, a long one to the counts.
+    For tokens that come as a table of their own. Tokens are counted per id and word, reviews
+    per id and category, and the counts are multiplied. The sums are those of the
+    many-to-many join, without its rows: an id meets each of its words and categories once,
+    however often they occur. Reviews without a category have the frequency 0.
     """
-    listed_early = stop_words is not None and fits_broadcast(stop_words)
-    if listed_early:
-        tokens = without_stop_words(tokens, stop_words)
+    tokens, late = _screened(tokens, stop_words)
     word_counts = tokens.groupBy("id", "word").agg(F.count("*").alias("n_word"))
-    if stop_words is not None and not listed_early:
-        word_counts = without_stop_words(word_counts, stop_words)
+    if late is not None:
+        word_counts = without_stop_words(word_counts, late)
     review_counts = reviews.where(F.col("id").isNotNull()).groupBy("id", "category").agg(
         F.count("category").alias("n_review")
     )
@@ -84,8 +85,80 @@ def category_word_counts(
     return pairs.groupBy("category", "word").agg(freq.alias("freq"))
 
 
+def _screened(tokens: DataFrame, stop_words: DataFrame | None):
+    """A short list of stop words is applied to the tokens; a long one is left for their counts."""
+    if stop_words is not None and fits_broadcast(stop_words):
+        return without_stop_words(tokens, stop_words), None
+    return tokens, stop_words
+
+
+def _weighted(category: Column, n: Column) -> Column:
+    """A category with its number of reviews; no category counts for nothing."""
+    return F.struct(category.alias("category"), F.when(category.isNotNull(), n).otherwise(0).cast("bigint").alias("weight"))
+
+
+def shared_categories(reviews: DataFrame, chosen: Column, most: int) -> DataFrame:
+    """``id, shared`` for the ids of more than one review: their chosen categories with counts.
+
+    At most ``most + 1`` categories are listed per id.
+    """
+    same_id = Window.partitionBy("id")
+    per_category = reviews.where(F.col("id").isNotNull()).groupBy("id", "category").agg(
+        F.count_if(chosen).alias("n"), F.count("*").alias("n_rows")
+    )
+    counted = per_category.withColumn("id_rows", F.sum("n_rows").over(same_id))
+    listed = counted.where((F.col("id_rows") > 1) & (F.col("n") > 0)).withColumn(
+        "place", F.row_number().over(same_id.orderBy("category"))
+    )
+    categories = F.sort_array(F.collect_list(_weighted(F.col("category"), F.col("n"))))
+    return listed.where(F.col("place") <= most + 1).groupBy("id").agg(categories.alias("shared"))
+
+
+def review_word_counts(
+    reviews: DataFrame,
+    sentiment: str | None = None,
+    stop_words: DataFrame | None = None,
+    most: int = MOST_CATEGORIES,
+) -> DataFrame:
+    """The same counts as ``category_word_counts`` for the tokens of the reviews themselves.
+
+    The texts stay whole until their words are counted: a review meets the categories of its
+    id as one array, and words are counted per array in each task. Only ids that occur more
+    than once need the join, so the texts are shuffled at most once, and not at all when few
+    ids repeat. Ids with more than ``most`` categories go through ``category_word_counts``.
+    """
+    chosen = F.lit(True) if sentiment is None else F.coalesce(F.col("sentiment") == sentiment, F.lit(False))
+    narrow = reviews.select("id", "category", chosen.alias("chosen"))
+    shared = materialize(shared_categories(narrow, F.col("chosen"), most))
+    rows = reviews.where(F.col("id").isNotNull()).select("id", "review", "category", chosen.alias("chosen"))
+    tagged = lookup_join(rows, shared, "id", "left")
+
+    own = F.when(F.col("chosen"), F.array(_weighted(F.col("category"), F.lit(1))))
+    tagged = tagged.withColumn("categories", F.coalesce("shared", own))
+    narrow_ids = tagged.where(F.size("categories").between(1, most))
+    found = narrow_ids.select("categories", F.explode(words(clean(F.col("review")))).alias("word"))
+    found, late = _screened(found.where(F.col("word") != ""), stop_words)
+    counts = found.groupBy("categories", "word").agg(F.count("*").alias("n_word"))
+    if late is not None:
+        counts = without_stop_words(counts, late)
+    counts = counts.select("word", "n_word", F.inline("categories"))
+    freq = F.sum(F.col("n_word") * F.col("weight"))
+    result = counts.groupBy("category", "word").agg(freq.alias("freq"))
+
+    wide = shared.where(F.size("shared") > most).select("id")
+    if wide.isEmpty():
+        return result
+    wide_rows = lookup_join(rows, wide, "id")
+    of_wide = category_word_counts(tokens(wide_rows), wide_rows.where("chosen"), stop_words)
+    return result.unionByName(of_wide).groupBy("category", "word").agg(F.sum("freq").alias("freq"))
+
+
+def _nested(counts: DataFrame, n: int) -> DataFrame:
+    order = [F.desc("freq"), F.col("word")]
+    return nested_top_n(counts, "category", order, n, ["category", "word", "freq"], "words")
+
+
 def top_words(
-    tokens: DataFrame,
     reviews: DataFrame,
     sentiment: str | None = None,
     stop_words: DataFrame | None = None,
@@ -96,7 +169,12 @@ def top_words(
     With a sentiment only the reviews of that sentiment give categories; the tokens are those
     of all reviews with the same id.
     """
+    return _nested(review_word_counts(reviews, sentiment, stop_words), n)
+
+
+def top_words_of_tokens(
+    tokens: DataFrame, reviews: DataFrame, sentiment: str | None = None, n: int = TOP_WORDS
+) -> DataFrame:
+    """The same for tokens that were stored before, stop words already removed."""
     chosen = reviews if sentiment is None else reviews.where(F.col("sentiment") == sentiment)
-    counts = category_word_counts(tokens, chosen, stop_words)
-    order = [F.desc("freq"), F.col("word")]
-    return nested_top_n(counts, "category", order, n, ["category", "word", "freq"], "words")
+    return _nested(category_word_counts(tokens, chosen), n)

@@ -15,8 +15,8 @@ ITEM_PATTERN = r"^([^,]*),(.*),([^,]*)$"
 
 def read_ratings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``user_id, item_id, score, ts``; a line with any unreadable field is dropped."""
-    parts = fields_of(F.col("value"))
-    parsed = read_lines(spark, paths).select(
+    parts = F.col("parts")
+    parsed = read_lines(spark, paths).select(fields_of(F.col("value")).alias("parts")).select(
         to_long(field(parts, 0)).alias("user_id"),
         to_long(field(parts, 1)).alias("item_id"),
         to_double(field(parts, 2)).alias("score"),
@@ -47,8 +47,8 @@ def read_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_users(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``user_id, gender, age, occupation_id, zip``; all five fields are required."""
-    parts = fields_of(F.col("value"))
-    parsed = read_lines(spark, paths).select(
+    parts = F.col("parts")
+    parsed = read_lines(spark, paths).select(fields_of(F.col("value")).alias("parts")).select(
         to_long(field(parts, 0)).alias("user_id"),
         strip(field(parts, 1)).alias("gender"),
         to_long(field(parts, 2)).cast("int").alias("age"),

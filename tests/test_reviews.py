@@ -5,7 +5,7 @@ from conftest import rows
 
 from pyspark.sql import functions as F
 
-from tallywood.functions.text import clean
+from tallywood.functions.text import clean, words
 from tallywood.plans import reviews as plans
 from tallywood.sinks.text import delimited_lines
 
@@ -28,12 +28,14 @@ def test_a_missing_text_has_no_words(spark):
     assert rows(plans.tokens(reviews_of(spark, [(1, None, "A", "B", "x")]))) == []
 
 
-def test_both_number_patterns_agree_on_the_documents(spark):
-    """The pattern without a flag is the same on the JVM used here."""
+def test_one_pass_gives_the_words_of_three_passes(spark):
+    """Line breaks to spaces, then numbers, then punctuation, and no flag on the pattern."""
     text = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
     plain = F.regexp_replace(F.lower("text"), r"[\r\n]+", " ")
     plain = F.regexp_replace(F.regexp_replace(plain, r"\b\p{N}+\p{L}*\b", ""), r"[^\p{L}\s]", "")
-    assert text.where(clean(F.col("text")) != plain).count() == 0
+    three = F.filter(F.split(plain, r'[ ",()*]+'), lambda w: w != "")
+    one = F.filter(words(clean(F.col("text"))), lambda w: w != "")
+    assert text.where(one != three).count() == 0
 
 
 @pytest.mark.parametrize("limit", [None, -1])
@@ -65,10 +67,10 @@ def test_top_aspect_with_a_tie(spark):
 def random_reviews(spark, seed, n=200):
     """A third of the rows share one id."""
     rng = random.Random(seed)
-    words = [f"w{chr(97 + i)}" for i in range(12)]
+    vocabulary = [f"w{chr(97 + i)}" for i in range(12)]
     return reviews_of(spark, [(
         0 if i % 3 == 0 else rng.choice([None, *range(1, 30)]),
-        " ".join(rng.choices(words, k=rng.randint(0, 8))),
+        " ".join(rng.choices(vocabulary, k=rng.randint(0, 8))),
         rng.choice(["A", "B", None]), "x", rng.choice(["positive", "negative", "neutral"])) for i in range(n)])
 
 
@@ -79,12 +81,17 @@ def test_multiplied_counts_equal_the_plain_join(spark, seed, sentiment):
     chosen = data if sentiment is None else data.where(F.col("sentiment") == sentiment)
     tokens = plans.tokens(data)
     plain = tokens.join(chosen.select("id", "category"), "id").groupBy("category", "word").agg(F.count("category").alias("freq"))
-    assert sorted(rows(plans.category_word_counts(tokens, chosen)), key=str) == sorted(rows(plain), key=str)
+    expected = sorted(rows(plain), key=str)
+    assert sorted(rows(plans.category_word_counts(tokens, chosen)), key=str) == expected
+    for most in (0, 1, 2, 64):
+        found = plans.review_word_counts(data, sentiment, most=most)
+        assert sorted(rows(found), key=str) == expected
 
 
 def test_top_words_are_ordered_and_nested(spark):
     data = reviews_of(spark, [(1, "b a a c", "A", "x", "positive"), (1, "a", "B", "x", "negative")])
-    top = plans.top_words(plans.tokens(data), data, n=2)
+    top = plans.top_words(data, n=2)
+    assert sorted(rows(top)) == sorted(rows(plans.top_words_of_tokens(plans.tokens(data), data, n=2)))
     assert sorted(rows(delimited_lines(top))) == [("A,{(A,a,3),(A,b,1)}",), ("B,{(B,a,3),(B,b,1)}",)]
 
 
@@ -101,5 +108,7 @@ def test_long_stop_list_gives_the_same_words(spark):
     data = random_reviews(spark, 4)
     short = spark.sql("SELECT word FROM VALUES ('wa'), ('wb') AS t(word)")
     long = spark.createDataFrame([("wa",), ("wb",)], "word string")  # of unknown size
-    results = [sorted(rows(plans.top_words(plans.tokens(data), data, None, s)), key=str) for s in (short, long)]
-    assert results[0] == results[1]
+    for count in (lambda s: plans.review_word_counts(data, None, s),
+                  lambda s: plans.category_word_counts(plans.tokens(data), data, s)):
+        found = [sorted(rows(count(s)), key=str) for s in (short, long)]
+        assert found[0] == found[1] and not {"wa", "wb"} & {r[1] for r in found[0]}

@@ -11,6 +11,7 @@ from tallywood.sources import orders as order_sources
 from tallywood.sources import ratings as rating_sources
 from tallywood.sources import reviews as review_sources
 from workload import ratings as rating_queries
+from workload import reviews as review_queries
 from workload import views
 from workload.sql import tokens
 
@@ -97,7 +98,7 @@ def stop_words_from_file(spark, d):
     benchmark = views.table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("review"))
     listed = review_plans.tokens(benchmark).select("word").distinct()
     stop_words = review_sources.read_stop_words(spark, _written(listed, "words"))
-    return review_plans.word_frequencies(review_plans.tokens(views.reviews(spark, d)), stop_words, above=20)
+    return review_plans.word_frequencies(review_queries.text_tokens(spark, d), stop_words, above=20)
 
 
 def header_csv(spark, d):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tallywood.operators.partitions import spread_small
 from tallywood.plans import reviews as plans
+from tallywood.session import materialize
 from tallywood.sinks.text import delimited_lines
 from workload import views
 from workload.sql import tokens
@@ -31,15 +33,15 @@ def _flat(df):
 
 
 def text_tokens(spark, d):
-    return plans.tokens(views.reviews(spark, d))
+    return plans.tokens(_spread(views.reviews(spark, d)))
 
 
 def kept_tokens(spark, d):
-    return plans.clean_tokens(views.reviews(spark, d), views.stop_words(spark))
+    return plans.without_stop_words(text_tokens(spark, d), views.stop_words(spark))
 
 
 def frequent_words(spark, d):
-    return plans.word_frequencies(plans.tokens(views.reviews(spark, d)), views.stop_words(spark))
+    return plans.word_frequencies(text_tokens(spark, d), views.stop_words(spark))
 
 
 def by_category(spark, d):
@@ -58,30 +60,44 @@ def top_negative(spark, d):
     return plans.top_aspect(views.labelled_reviews(spark, d), plans.NEGATIVE)
 
 
+def _spread(reviews):
+    return spread_small(reviews, "id")
+
+
 def _top(spark, d, reviews, sentiment=None):
-    found = plans.tokens(views.reviews(spark, d))
-    return plans.top_words(found, reviews, sentiment, views.stop_words(spark))
+    return plans.top_words(_spread(reviews(spark, d)), sentiment, views.stop_words(spark))
 
 
 def top_words(spark, d):
-    return _flat(_top(spark, d, views.reviews(spark, d)))
+    return _flat(_top(spark, d, views.reviews))
 
 
 def top_words_positive(spark, d):
-    return _flat(_top(spark, d, views.labelled_reviews(spark, d), plans.POSITIVE))
+    return _flat(_top(spark, d, views.labelled_reviews, plans.POSITIVE))
 
 
 def top_words_negative(spark, d):
-    return _flat(_top(spark, d, views.labelled_reviews(spark, d), plans.NEGATIVE))
+    return _flat(_top(spark, d, views.labelled_reviews, plans.NEGATIVE))
+
+
+def top_words_stored(spark, d):
+    """From tokens stored as a table."""
+    stored = materialize(kept_tokens(spark, d))
+    return _flat(plans.top_words_of_tokens(stored, views.reviews(spark, d)))
 
 
 def top_words_text(spark, d):
     """The nested form as bag text."""
-    return delimited_lines(_top(spark, d, views.reviews(spark, d)))
+    return delimited_lines(_top(spark, d, views.reviews))
 
 
-def fanout_counts(spark, d):
+def fanout_counts_by_review(spark, d):
     """Turns share ids, so each word meets every turn of its conversation."""
+    return plans.review_word_counts(_spread(views.turns(spark, d)))
+
+
+def fanout_counts(spark, d):
+    """The same from a table of tokens."""
     found = views.turns(spark, d)
     return plans.category_word_counts(plans.tokens(found), found)
 
@@ -91,6 +107,8 @@ def _aspect_sql(sentiment: str) -> str:
 GROUP BY aspect ORDER BY total DESC, aspect LIMIT 1"""
 
 
+FANOUT_SQL = f"""SELECT r.role AS category, t.word, count(*) AS freq FROM {TURN_TOKENS_SQL} t
+JOIN conversations r ON r.conv_id = t.id GROUP BY r.role, t.word"""
 ALL_TOP_SQL = _top_sql(KEPT_SQL, LABELLED_SQL)
 
 QUERIES = {
@@ -113,8 +131,7 @@ QUERIES = {
         top_words_text,
         "SELECT category || ',{' || string_agg('(' || category || ',' || word || ',' || CAST(freq AS VARCHAR) || ')', ',' "
         f"ORDER BY rank) || '}}' AS line FROM ({ALL_TOP_SQL}) GROUP BY category"),
-    "fanout_word_count_factored": (
-        fanout_counts,
-        f"SELECT r.role AS category, t.word, count(*) AS freq FROM {TURN_TOKENS_SQL} t "
-        "JOIN conversations r ON r.conv_id = t.id GROUP BY r.role, t.word"),
+    "top5_words_stored_tokens": (top_words_stored, ALL_TOP_SQL),
+    "fanout_word_count": (fanout_counts_by_review, FANOUT_SQL),
+    "fanout_word_count_factored": (fanout_counts, FANOUT_SQL),
 }
