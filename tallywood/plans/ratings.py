@@ -141,6 +141,15 @@ def mean_by_item_band(ratings: DataFrame, users: DataFrame) -> DataFrame:
     return means.orderBy("item_id", "band")
 
 
+def band_map(means: DataFrame) -> DataFrame:
+    """``item_id, bands``: the rows of ``mean_by_item_band`` as one map per item.
+
+    A map has one entry per band, seven at most.
+    """
+    entry = F.struct("band", F.struct(MEAN, N))
+    return means.groupBy("item_id").agg(F.map_from_entries(F.collect_list(entry)).alias("bands"))
+
+
 def age_band_table(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """One row per item: mean and count (``<band> avg``, ``<band> n``) for each band of seven."""
     conditions = band_conditions(F.col("age"), SEVEN_BANDS)

@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 from tallywood.functions.bands import FOUR_BANDS, SEVEN_BANDS
 from tallywood.functions.numbers import fixed_half_even, fixed_half_up
 from tallywood.plans.ratings import MEAN, N
-from tallywood.sinks.report import cut, left, report_lines, right, two_digits
-
+from tallywood.sinks.report import (
+    cut,
+    heading,
+    left,
+    report_lines,
+    report_text,
+    right,
+    two_digits,
+)
+
+ITEM_RULE = 85
 NO_MEAN = "N/A"
 NO_BAND_MEAN = "NA"
 
@@ -23,6 +32,29 @@ def item_lines(means: DataFrame) -> DataFrame:
     return report_lines(means, [left(F.col("title"), 65), two_digits(F.col(MEAN), 10), right(F.col(N), 8)])
 
 
+def best_item_lines(
+    best: DataFrame,
+    intro: str = "Best item with at least 5 ratings:",
+    labels: tuple[str, str, str] = ("Title", "Average", "Ratings"),
+) -> DataFrame:
+    """The closing lines of the item report."""
+    rule = F.lit("=" * ITEM_RULE)
+    values = F.col("title"), fixed_half_even(F.col(MEAN)), F.col(N).cast("string")
+    stated = [F.concat(F.lit(f"{label}: "), value) for label, value in zip(labels, values)]
+    lines = F.array(F.lit(""), rule, F.lit(intro), *stated, rule)
+    return best.select(F.explode(lines).alias("line"))
+
+
+def item_report(
+    means: DataFrame,
+    closing: DataFrame,
+    titles: tuple[str, str, str] = ("Title", "Avg Rating", "Ratings"),
+) -> DataFrame:
+    """The whole item report: heading, items, best item. Labels are free to choose."""
+    head = heading(list(titles), [65, -10, -8], "=", ITEM_RULE)
+    return report_text(head, item_lines(means), closing)
+
+
 def group_lines(means: DataFrame, group: str, widths: tuple[int, int, int]) -> DataFrame:
     """One group per line: genre (25), occupation (35) or year (10), then mean and count."""
     first, second, third = widths

@@ -30,12 +30,29 @@ def report_lines(df: DataFrame, cells: list[Column], sep: str = " ") -> DataFram
     return df.select(F.concat_ws(sep, *cells).alias("line"))
 
 
-def heading(title: list[str], widths: list[int], rule: str, length: int) -> list[str]:
+def heading(titles: list[str], widths: list[int], rule: str, length: int) -> list[str]:
     """Column titles between two rules; a negative width aligns to the right."""
-    cells = [t.ljust(w) if w > 0 else t.rjust(-w) for t, w in zip(title, widths)]
+    cells = [t.ljust(w) if w > 0 else t.rjust(-w) for t, w in zip(titles, widths)]
     return [rule * length, " ".join(cells), rule * length]
 
 
+def report_text(head: list[str], lines: DataFrame, foot: DataFrame | None = None) -> DataFrame:
+    """Heading, lines and closing lines in order; ``lines`` and ``foot`` keep their own order."""
+    top = F.lit(head).cast("array<string>")
+    first = lines.sparkSession.range(1).select(F.posexplode(top).alias("place", "line"))
+    parts = [first, lines.withColumn("place", F.monotonically_increasing_id())]
+    if foot is not None:
+        parts.append(foot.withColumn("place", F.monotonically_increasing_id()))
+    columns = [
+        part.select(F.lit(i).alias("part"), F.col("place").cast("bigint").alias("place"), "line")
+        for i, part in enumerate(parts)
+    ]
+    whole = columns[0]
+    for part in columns[1:]:
+        whole = whole.unionByName(part)
+    return whole.orderBy("part", "place").select("line")
+
+
 def write_report(lines: DataFrame, path: str) -> None:
     """Ordered lines to text files; the order of the part files is the order of the lines."""
     lines.write.text(path)

@@ -42,3 +42,11 @@ def test_ordered_report_file(spark, tmp_path):
     parts = sorted((tmp_path / "r").glob("part-*"))
     written = [line for part in parts for line in part.read_text().splitlines()]
     assert written == sorted(written) and len(written) == 2000
+
+
+def test_whole_report_in_order(spark):
+    means = spark.sql("SELECT concat('T', id) AS title, 5 - id / 100 AS avg_rating, 7L AS n_ratings FROM range(0, 60, 1, 5)").orderBy("avg_rating", ascending=False)
+    lines = [r[0] for r in rows(reports.item_report(means, reports.best_item_lines(means.limit(1))))]
+    assert lines[0] == lines[2] == "=" * 85 and lines[1].startswith("Title") and lines[1].endswith("Avg Rating  Ratings")
+    assert [line.split()[0] for line in lines[3:63]] == [f"T{i}" for i in range(60)]
+    assert lines[63:] == ["", "=" * 85, "Best item with at least 5 ratings:", "Title: T0", "Average: 5.00", "Ratings: 7", "=" * 85]

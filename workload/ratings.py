@@ -130,6 +130,23 @@ def by_item_band(spark, d):
     return plans.mean_by_item_band(views.ratings(spark, d), views.users(spark, d))
 
 
+def looked_up_bands(spark, d):
+    """Two bands looked up in the map of an item; a band that is not there gives null."""
+    found = plans.band_map(by_item_band(spark, d))
+    young, old = (F.try_element_at("bands", F.lit(b)) for b in ("<18", "56+"))
+    return found.select(
+        "item_id", F.size("bands").cast("bigint").alias("n_bands"),
+        young["avg_rating"].alias("young_avg"), old["n_ratings"].alias("old_n"),
+    )
+
+
+def item_report_text(spark, d):
+    """The item report with its heading and the best item below."""
+    found = by_item(spark, d)
+    best = reports.best_item_lines(plans.first_row(found, [F.desc("avg_rating"), F.desc("n_ratings"), F.col("title")]))
+    return reports.item_report(found, best)
+
+
 def by_occupation(spark, d):
     return plans.mean_by_occupation(views.ratings(spark, d), views.users(spark, d), views.codes(spark, d))
 
@@ -216,6 +233,10 @@ QUERIES = {
     "rating_band_pivot4": (four_bands, FOUR_SQL),
     "rating_band_pivot7": (seven_bands, SEVEN_SQL),
     "rating_mean_by_item_band": (by_item_band, BY_BAND_SQL),
+    "rating_band_map": (
+        looked_up_bands,
+        f"""SELECT item_id, count(*) AS n_bands, max(avg_rating) FILTER (band = '<18') AS young_avg,
+  max(n_ratings) FILTER (band = '56+') AS old_n FROM ({BY_BAND_SQL}) GROUP BY item_id"""),
     "rating_mean_by_code_label": (by_occupation, BY_OCCUPATION_SQL),
     "rating_mean_by_year": (by_year, BY_YEAR_SQL),
     "rating_union_files": (
@@ -226,6 +247,13 @@ QUERIES = {
         item_report,
         f"SELECT rpad(title, 65, ' ') || ' ' || {_two('avg_rating', 10)} || ' ' || {_padded('n_ratings', 8)} AS line "
         f"FROM ({BY_ITEM_SQL})"),
+    "report_text_items": (
+        item_report_text,
+        f"""WITH m AS ({BY_ITEM_SQL}), b AS (SELECT * FROM m ORDER BY avg_rating DESC, n_ratings DESC, title LIMIT 1)
+SELECT rpad(title, 65, ' ') || ' ' || {_two('avg_rating', 10)} || ' ' || {_padded('n_ratings', 8)} AS line FROM m
+UNION ALL SELECT unnest([repeat('=', 85), rpad('Title', 65, ' ') || ' Avg Rating  Ratings', repeat('=', 85)])
+UNION ALL SELECT unnest(['', repeat('=', 85), 'Best item with at least 5 ratings:', 'Title: ' || title,
+  'Average: ' || printf('%.2f', avg_rating), 'Ratings: ' || CAST(n_ratings AS VARCHAR), repeat('=', 85)]) FROM b"""),
     "report_lines_genres": (
         genre_report,
         f"SELECT rpad(genre, 25, ' ') || ' ' || {_two('avg_rating', 12)} || ' ' || {_padded('n_ratings', 10)} AS line "
