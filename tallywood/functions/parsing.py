@@ -13,7 +13,7 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029"
     "\u202f\u205f\u3000"
 )
-NOT_A_NUMERAL = r"(?i)[0-9.][df]$|0x"
+NOT_A_NUMERAL = r"(?iU)[0-9.][df]\s*$|0x"
 
 
 def strip(text: Column) -> Column:
@@ -21,13 +21,14 @@ def strip(text: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    return strip(text).try_cast("bigint")
+    """A whole number. A cast ignores ASCII blanks; other blanks are tried only if it fails."""
+    return F.coalesce(text.try_cast("bigint"), strip(text).try_cast("bigint"))
 
 
 def to_double(text: Column) -> Column:
     """Decimal numerals, ``nan`` and ``inf``; type suffixes and hexadecimals do not count."""
-    value = strip(text)
-    return F.when(~value.rlike(NOT_A_NUMERAL), value.try_cast("double"))
+    value = F.coalesce(text.try_cast("double"), strip(text).try_cast("double"))
+    return F.when(~text.rlike(NOT_A_NUMERAL), value)
 
 
 def field(fields: Column, position: int) -> Column:

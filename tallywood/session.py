@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Only detect_frames moves rows to Python, and its rows hold images of up to 10 MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywood.functions.parsing import strip
@@ -25,3 +25,13 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return raw.select(strip(F.col("value")).alias("value"), position.alias(POSITION)).where(
         F.col("value") != ""
     )
+
+
+def records(lines: DataFrame, fields: dict[str, Column], required: list[str]) -> DataFrame:
+    """Parsed fields as columns, without the lines that lack a required one.
+
+    Each line is parsed into one generated row. The null checks then read the row instead of
+    being pushed below it, where every check would parse its field once more.
+    """
+    record = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return lines.select(F.inline(F.array(record))).dropna(subset=required)

@@ -6,56 +6,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywood.functions.parsing import field, fields_of, split_list, strip, to_double, to_long
-from tallywood.sources.lines import POSITION, read_lines
+from tallywood.sources.lines import POSITION, read_lines, records
 
 # A comma line holds the id before its first comma and the genres after its
 # last one, so that a title may hold commas of its own.
 ITEM_PATTERN = r"^([^,]*),(.*),([^,]*)$"
 
 
-def read_ratings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``user_id, item_id, score, ts``; a line with any unreadable field is dropped."""
+def _split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return read_lines(spark, paths).select(fields_of(F.col("value")).alias("parts"))
+
+
+def read_ratings(
+    spark: SparkSession, paths: str | list[str], timed: bool = True
+) -> DataFrame:
+    """``user_id, item_id, score, ts``; a line with any unreadable field is dropped.
+
+    Analyses that do not use the time may read with ``timed=False``, which accepts lines
+    without a readable time.
+    """
     parts = F.col("parts")
-    parsed = read_lines(spark, paths).select(fields_of(F.col("value")).alias("parts")).select(
-        to_long(field(parts, 0)).alias("user_id"),
-        to_long(field(parts, 1)).alias("item_id"),
-        to_double(field(parts, 2)).alias("score"),
-        to_long(field(parts, 3)).alias("ts"),
-    )
-    return parsed.dropna()
+    fields = {
+        "user_id": to_long(field(parts, 0)),
+        "item_id": to_long(field(parts, 1)),
+        "score": to_double(field(parts, 2)),
+        "ts": to_long(field(parts, 3)),
+    }
+    required = [name for name in fields if timed or name != "ts"]
+    return records(_split(spark, paths), fields, required)
 
 
 def read_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``item_id, title, genres, position``; genres are an array without empty entries."""
     line = F.col("value")
-    parts = F.split(line, "::", -1)
-    is_long = line.contains("::")
-
-    def part(position: int):
-        return F.when(is_long, field(parts, position)).otherwise(
-            F.regexp_extract(line, ITEM_PATTERN, position + 1)
-        )
-
-    parsed = read_lines(spark, paths).where(is_long | line.rlike(ITEM_PATTERN))
-    return parsed.select(
-        to_long(part(0)).alias("item_id"),
-        strip(part(1)).alias("title"),
-        split_list(part(2)).alias("genres"),
-        POSITION,
-    ).dropna(subset=["item_id", "title", "genres"])
+    by_commas = F.array(*[F.regexp_extract(line, ITEM_PATTERN, i) for i in (1, 2, 3)])
+    parts = F.when(line.contains("::"), F.split(line, "::", -1)).when(
+        line.rlike(ITEM_PATTERN), by_commas
+    )
+    split = read_lines(spark, paths).select(parts.alias("parts"), POSITION)
+    fields = {
+        "item_id": to_long(field(F.col("parts"), 0)),
+        "title": strip(field(F.col("parts"), 1)),
+        "genres": split_list(field(F.col("parts"), 2)),
+        POSITION: F.col(POSITION),
+    }
+    return records(split, fields, ["item_id", "title", "genres"])
 
 
 def read_users(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``user_id, gender, age, occupation_id, zip``; all five fields are required."""
     parts = F.col("parts")
-    parsed = read_lines(spark, paths).select(fields_of(F.col("value")).alias("parts")).select(
-        to_long(field(parts, 0)).alias("user_id"),
-        strip(field(parts, 1)).alias("gender"),
-        to_long(field(parts, 2)).cast("int").alias("age"),
-        strip(field(parts, 3)).alias("occupation_id"),
-        strip(field(parts, 4)).alias("zip"),
-    )
-    return parsed.dropna()
+    fields = {
+        "user_id": to_long(field(parts, 0)),
+        "gender": strip(field(parts, 1)),
+        "age": to_long(field(parts, 2)).cast("int"),
+        "occupation_id": strip(field(parts, 3)),
+        "zip": strip(field(parts, 4)),
+    }
+    return records(_split(spark, paths), fields, list(fields))
 
 
 def read_codes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -66,7 +74,10 @@ def read_codes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .when(line.contains("\t"), F.split(line, "\t", 2))
         .otherwise(F.split(line, ",", 2))
     )
-    parsed = read_lines(spark, paths).select(
-        strip(field(parts, 0)).alias("code"), strip(field(parts, 1)).alias("name"), POSITION
-    )
-    return parsed.dropna(subset=["code", "name"])
+    split = read_lines(spark, paths).select(parts.alias("parts"), POSITION)
+    fields = {
+        "code": strip(field(F.col("parts"), 0)),
+        "name": strip(field(F.col("parts"), 1)),
+        POSITION: F.col(POSITION),
+    }
+    return records(split, fields, ["code", "name"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,28 +30,32 @@ _SCHEMA = (
 def detect_frames(
     frames: DataFrame, detect: Detector, threshold: float = CONFIDENCE_THRESHOLD
 ) -> DataFrame:
-    """Results of a batch or a stream of frames; frames of a camera keep their order.
+    """Results of a batch or a stream of frames, in the order of each input partition.
 
     Only the model call runs in Python, once per frame; decoding, filtering and shaping are
-    native expressions. The image is read by the model and then dropped.
+    native expressions. The image is read by the model and then dropped. ``detect`` is sent to
+    the workers; one that loads a model should do so on its first call.
     """
+    names = ["camera_id", "frame_id", "timestamp", "width", "height"]
+    added = ["detections", "started", "processed_timestamp"]
+    corners = [(name, pa.float64()) for name in ("x1", "y1", "x2", "y2")]
+    detections = pa.list_(
+        pa.struct([("class_id", pa.int32()), ("confidence", pa.float64()), *corners])
+    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, started, done = [], [], []
-            for image in batch["image"]:
-                started.append(time.time())
-                found.append(detect(image))
+            found, begun, done = [], [], []
+            for image in batch.column("image"):
+                begun.append(time.time())
+                found.append(detect(image.as_py()))
                 done.append(time.time())
-            yield batch.drop(columns="image").assign(
-                detections=found, started=started, processed_timestamp=done
-            )
+            kept = [batch.column(name) for name in names]
+            made = [pa.array(found, detections), pa.array(begun, pa.float64()), pa.array(done, pa.float64())]
+            yield pa.RecordBatch.from_arrays(kept + made, [*names, *added])
 
-    images = frames.select(
-        "camera_id", "frame_id", "timestamp", "width", "height",
-        decode_base64(F.col("image_data")).alias("image"),
-    )
-    detected = images.mapInPandas(run, _SCHEMA)
+    images = frames.select(*names, decode_base64(F.col("image_data")).alias("image"))
+    detected = images.mapInArrow(run, _SCHEMA)
     spent = elapsed_ms(F.col("started"), F.col("processed_timestamp"))
     boxed = detected.withColumn("processing_time_ms", spent).withColumn(
         "boxes", person_boxes(F.col("detections"), threshold)

@@ -19,6 +19,12 @@ def test_ratings_keep_only_readable_lines(spark, text_file):
     ]
 
 
+def test_ratings_without_a_time(spark, text_file):
+    path = text_file("t.txt", ["1,10,4.5", "2,10,3,soon", "3,10", "4,10,bad,1", "5,10,2,9"])
+    assert sorted(rows(ratings.read_ratings(spark, path, timed=False))) == [
+        (1, 10, 4.5, None), (2, 10, 3.0, None), (5, 10, 2.0, 9)]
+
+
 def test_several_files_are_read_on_their_own(spark, text_file):
     """Without a newline at the end of a file its last line must not run into the next one."""
     first = text_file("a.txt", ["1,1,1,1"], last=False)
