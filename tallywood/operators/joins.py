@@ -37,36 +37,43 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     Each group of read partitions keeps a bounded sketch of its frequent keys; the counts of a
     key are then added up over the groups. A key that a sketch misses or misjudges changes the
     work of a task, not a result. The counts are written once, so that every reader of the
-    returned table sees the same pieces.
+    returned table sees the same pieces. A missing key counts as a key.
     """
-    groups = df.where(F.col(key).isNotNull()).groupBy(
-        (F.spark_partition_id() % GROUPS).alias("g")
-    ).agg(
+    groups = df.groupBy((F.spark_partition_id() % GROUPS).alias("g")).agg(
         F.expr(f"approx_top_k({key}, {int(1 / HOT_SHARE)}, {TRACKED})").alias("top"),
         F.count("*").alias("n"),
     )
     frequent = F.filter("top", lambda t: t["count"] > F.col("n") * HOT_SHARE / 4)
+    keys = F.transform(
+        frequent,
+        lambda t: F.struct(t["item"].alias("item"), t["count"].alias("n"), F.lit(False).alias("whole")),
+    )
     no_key = F.lit(None).cast(df.schema[key].dataType)
-    all_rows = F.array(F.struct(no_key.alias("item"), F.col("n").alias("count")))
-    seen = groups.select(F.inline(F.concat(frequent, all_rows)))
-    counts = materialize(seen.groupBy("item").agg(F.sum("count").alias("n")))
+    whole = F.array(F.struct(no_key.alias("item"), F.col("n"), F.lit(True).alias("whole")))
+    seen = groups.select(F.inline(F.concat(keys, whole)))
+    counts = materialize(seen.groupBy("item", "whole").agg(F.sum("n").alias("n")))
 
-    total = counts.where(F.col("item").isNull()).select("n").scalar()
+    total = counts.where("whole").select("n").scalar()
     pieces = F.ceil(F.col("n") / total / HOT_SHARE).cast("int")
-    hot = counts.where(F.col("item").isNotNull() & (F.col("n") > total * HOT_SHARE))
+    hot = counts.where(~F.col("whole") & (F.col("n") > total * HOT_SHARE))
     return hot.select(F.col("item").alias(key), pieces.alias(_PIECES))
 
 
-def salted_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Equi-join in which the rows of a hot key are spread over many tasks.
+def shuffled_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Equi-join of two shuffled sides in which no key with many facts goes to one task.
 
-    Facts of a hot key get the number of a piece, taken from the partition they were read in;
-    the matching dimension rows are repeated once per piece. Every fact row meets each of its
-    dimension rows exactly once. Facts without a key are spread as well (outer and anti joins
-    keep them). The key column of the facts is read one more time, by a job of its own, to find
-    the hot keys.
+    Without hot keys this is a plain join. Facts of a hot key get the number of a piece, taken
+    from the partition they were read in; the matching dimension rows are repeated once per
+    piece. Every fact row meets each of its dimension rows exactly once. Facts without a key
+    are spread as well (outer and anti joins keep them). The key column of the facts is read
+    one more time, by a job of its own, to find the hot keys.
     """
-    hot = F.broadcast(hot_keys(facts.select(key), key))
+    hot = hot_keys(facts.select(key), key)
+    if how == "inner":
+        hot = hot.where(F.col(key).isNotNull())
+    if hot.isEmpty():
+        return facts.join(dim, key, how)
+    hot = F.broadcast(hot)
     partition = F.spark_partition_id()
     piece = (
         F.when(F.col(key).isNull(), partition)
@@ -85,9 +92,9 @@ def lookup_join(
     """Facts with a dimension (inner, left or left_anti).
 
     A dimension within the broadcast limit leaves the facts where they are; Spark makes that
-    choice from the same estimate. Beyond the limit both sides are shuffled with hot keys split.
+    choice from the same estimate. Beyond the limit both sides are shuffled, hot keys in pieces.
     """
-    join = DataFrame.join if fits_broadcast(dim, limit) else salted_join
+    join = DataFrame.join if fits_broadcast(dim, limit) else shuffled_join
     added = [] if how == "left_anti" else [c for c in dim.columns if c != key]
     return join(facts, dim, key, how).select(*facts.columns, *added)
 

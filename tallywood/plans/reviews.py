@@ -63,94 +63,123 @@ def top_aspect(reviews: DataFrame, sentiment: str) -> DataFrame:
     return first_row(counts, [F.desc("total"), F.col("aspect")])
 
 
-def category_word_counts(
-    tokens: DataFrame, reviews: DataFrame, stop_words: DataFrame | None = None
-) -> DataFrame:
-    """``category, word, freq`` over all pairs of a token and a review with the same id.
-
-    For tokens that come as a table of their own. Tokens are counted per id and word, reviews
-    per id and category, and the counts are multiplied. The sums are those of the
-    many-to-many join, without its rows: an id meets each of its words and categories once,
-    however often they occur. Reviews without a category have the frequency 0.
-    """
-    tokens, late = _screened(tokens, stop_words)
-    word_counts = tokens.groupBy("id", "word").agg(F.count("*").alias("n_word"))
-    if late is not None:
-        word_counts = without_stop_words(word_counts, late)
-    review_counts = reviews.where(F.col("id").isNotNull()).groupBy("id", "category").agg(
-        F.count("category").alias("n_review")
-    )
-    pairs = word_counts.join(review_counts, "id")
-    freq = F.sum(F.col("n_word") * F.col("n_review"))
-    return pairs.groupBy("category", "word").agg(freq.alias("freq"))
-
-
-def _screened(tokens: DataFrame, stop_words: DataFrame | None):
-    """A short list of stop words is applied to the tokens; a long one is left for their counts."""
-    if stop_words is not None and fits_broadcast(stop_words):
-        return without_stop_words(tokens, stop_words), None
-    return tokens, stop_words
+def _chosen(sentiment: str | None) -> Column:
+    if sentiment is None:
+        return F.lit(True)
+    return F.coalesce(F.col("sentiment") == sentiment, F.lit(False))
 
 
 def _weighted(category: Column, n: Column) -> Column:
-    """A category with its number of reviews; no category counts for nothing."""
-    return F.struct(category.alias("category"), F.when(category.isNotNull(), n).otherwise(0).cast("bigint").alias("weight"))
+    """A category with its number of reviews; a missing category counts for nothing."""
+    weight = F.when(category.isNotNull(), n).otherwise(0).cast("bigint")
+    return F.struct(category.alias("category"), weight.alias("weight"))
 
 
-def shared_categories(reviews: DataFrame, chosen: Column, most: int) -> DataFrame:
-    """``id, shared`` for the ids of more than one review: their chosen categories with counts.
+def categories_by_id(reviews: DataFrame, chosen: Column, most: int, least_rows: int) -> DataFrame:
+    """``id, listed``: the categories of the chosen reviews of an id with their numbers.
 
-    At most ``most + 1`` categories are listed per id.
+    Only ids with at least ``least_rows`` reviews are listed, and at most ``most + 1``
+    categories of an id.
     """
     same_id = Window.partitionBy("id")
     per_category = reviews.where(F.col("id").isNotNull()).groupBy("id", "category").agg(
         F.count_if(chosen).alias("n"), F.count("*").alias("n_rows")
     )
     counted = per_category.withColumn("id_rows", F.sum("n_rows").over(same_id))
-    listed = counted.where((F.col("id_rows") > 1) & (F.col("n") > 0)).withColumn(
-        "place", F.row_number().over(same_id.orderBy("category"))
-    )
-    categories = F.sort_array(F.collect_list(_weighted(F.col("category"), F.col("n"))))
-    return listed.where(F.col("place") <= most + 1).groupBy("id").agg(categories.alias("shared"))
+    used = counted.where((F.col("id_rows") >= least_rows) & (F.col("n") > 0))
+    placed = used.withColumn("place", F.row_number().over(same_id.orderBy("category")))
+    listed = F.sort_array(F.collect_list(_weighted(F.col("category"), F.col("n"))))
+    return placed.where(F.col("place") <= most + 1).groupBy("id").agg(listed.alias("listed"))
 
 
-def review_word_counts(
+def _counted(found: DataFrame, stop_words: DataFrame | None) -> DataFrame:
+    """``categories, word`` to ``category, word, freq``.
+
+    Words are counted per array of categories, of which there are few, before the arrays are
+    taken apart. A short list of stop words is applied to the words, a long one to their counts.
+    """
+    early = stop_words is not None and fits_broadcast(stop_words)
+    if early:
+        found = without_stop_words(found, stop_words)
+    counts = found.groupBy("categories", "word").agg(F.count("*").alias("n_word"))
+    if stop_words is not None and not early:
+        counts = without_stop_words(counts, stop_words)
+    single = counts.select("word", "n_word", F.inline("categories"))
+    freq = F.sum(F.col("n_word") * F.col("weight"))
+    return single.groupBy("category", "word").agg(freq.alias("freq"))
+
+
+def _multiplied(tokens: DataFrame, reviews: DataFrame, stop_words: DataFrame | None) -> DataFrame:
+    """The counts for ids with many categories: words per id times reviews per id."""
+    word_counts = tokens.groupBy("id", "word").agg(F.count("*").alias("n_word"))
+    if stop_words is not None:
+        word_counts = without_stop_words(word_counts, stop_words)
+    review_counts = reviews.groupBy("id", "category").agg(F.count("category").alias("n_review"))
+    freq = F.sum(F.col("n_word") * F.col("n_review"))
+    return word_counts.join(review_counts, "id").groupBy("category", "word").agg(freq.alias("freq"))
+
+
+def _added(first: DataFrame, second: DataFrame) -> DataFrame:
+    return first.unionByName(second).groupBy("category", "word").agg(F.sum("freq").alias("freq"))
+
+
+def category_word_counts(
+    tokens: DataFrame,
     reviews: DataFrame,
     sentiment: str | None = None,
     stop_words: DataFrame | None = None,
     most: int = MOST_CATEGORIES,
 ) -> DataFrame:
-    """The same counts as ``category_word_counts`` for the tokens of the reviews themselves.
+    """``category, word, freq`` over all pairs of a token and a review with the same id.
 
-    The texts stay whole until their words are counted: a review meets the categories of its
-    id as one array, and words are counted per array in each task. Only ids that occur more
-    than once need the join, so the texts are shuffled at most once, and not at all when few
-    ids repeat. Ids with more than ``most`` categories go through ``category_word_counts``.
+    For tokens that come as a table of their own. A token meets the categories of its id as
+    one array, so the many-to-many join has one row per token. Ids with more than ``most``
+    categories are counted by id and word instead. With a sentiment only the reviews of that
+    sentiment give categories. Reviews without a category have the frequency 0.
     """
-    chosen = F.lit(True) if sentiment is None else F.coalesce(F.col("sentiment") == sentiment, F.lit(False))
+    chosen = _chosen(sentiment)
     narrow = reviews.select("id", "category", chosen.alias("chosen"))
-    shared = materialize(shared_categories(narrow, F.col("chosen"), most))
-    rows = reviews.where(F.col("id").isNotNull()).select("id", "review", "category", chosen.alias("chosen"))
-    tagged = lookup_join(rows, shared, "id", "left")
+    listed = materialize(categories_by_id(narrow, F.col("chosen"), most, 1))
+    tagged = lookup_join(tokens.select("id", "word"), listed, "id")
+    few = tagged.where(F.size("listed") <= most)
+    result = _counted(few.select(F.col("listed").alias("categories"), "word"), stop_words)
 
+    wide = listed.where(F.size("listed") > most).select("id")
+    if wide.isEmpty():
+        return result
+    of_wide = lookup_join(narrow.where("chosen"), wide, "id")
+    return _added(result, _multiplied(lookup_join(tokens, wide, "id"), of_wide, stop_words))
+
+
+def review_word_counts(
+    reviews: DataFrame,
+    sentiment: str | None = None,
+    stop_words: DataFrame | None = None,
+    most: int = MOST_CATEGORIES,
+) -> DataFrame:
+    """The same counts for the words of the reviews themselves.
+
+    The texts stay whole until their words are counted. A review whose id does not repeat
+    brings its own category; only the other ids need the join, so the texts are shuffled at
+    most once, and not at all when few ids repeat.
+    """
+    chosen = _chosen(sentiment)
+    rows = reviews.where(F.col("id").isNotNull()).select(
+        "id", "review", "category", chosen.alias("chosen")
+    )
+    listed = materialize(categories_by_id(rows, F.col("chosen"), most, 2))
+    tagged = lookup_join(rows, listed, "id", "left")
     own = F.when(F.col("chosen"), F.array(_weighted(F.col("category"), F.lit(1))))
-    tagged = tagged.withColumn("categories", F.coalesce("shared", own))
-    narrow_ids = tagged.where(F.size("categories").between(1, most))
-    found = narrow_ids.select("categories", F.explode(words(clean(F.col("review")))).alias("word"))
-    found, late = _screened(found.where(F.col("word") != ""), stop_words)
-    counts = found.groupBy("categories", "word").agg(F.count("*").alias("n_word"))
-    if late is not None:
-        counts = without_stop_words(counts, late)
-    counts = counts.select("word", "n_word", F.inline("categories"))
-    freq = F.sum(F.col("n_word") * F.col("weight"))
-    result = counts.groupBy("category", "word").agg(freq.alias("freq"))
+    tagged = tagged.withColumn("categories", F.coalesce("listed", own))
+    few = tagged.where(F.size("categories").between(1, most))
+    found = few.select("categories", F.explode(words(clean(F.col("review")))).alias("word"))
+    result = _counted(found.where(F.col("word") != ""), stop_words)
 
-    wide = shared.where(F.size("shared") > most).select("id")
+    wide = listed.where(F.size("listed") > most).select("id")
     if wide.isEmpty():
         return result
-    wide_rows = lookup_join(rows, wide, "id")
-    of_wide = category_word_counts(tokens(wide_rows), wide_rows.where("chosen"), stop_words)
-    return result.unionByName(of_wide).groupBy("category", "word").agg(F.sum("freq").alias("freq"))
+    of_wide = lookup_join(rows, wide, "id")
+    return _added(result, _multiplied(tokens(of_wide), of_wide.where("chosen"), stop_words))
 
 
 def _nested(counts: DataFrame, n: int) -> DataFrame:
@@ -176,5 +205,4 @@ def top_words_of_tokens(
     tokens: DataFrame, reviews: DataFrame, sentiment: str | None = None, n: int = TOP_WORDS
 ) -> DataFrame:
     """The same for tokens that were stored before, stop words already removed."""
-    chosen = reviews if sentiment is None else reviews.where(F.col("sentiment") == sentiment)
-    return _nested(category_word_counts(tokens, chosen), n)
+    return _nested(category_word_counts(tokens, reviews, sentiment), n)

@@ -23,15 +23,28 @@ def dim(spark):
 
 def test_hot_keys_are_found_and_bounded(facts):
     hot = dict(rows(joins.hot_keys(facts, "k")))
-    assert 0 in hot and None not in hot
-    share = 10000 / facts.where("k IS NOT NULL").count()
-    assert abs(hot[0] - share / joins.HOT_SHARE) <= 2
+    none = facts.where("k IS NULL").count()
+    for key, n in ((0, 10000), (None, none)):
+        assert abs(hot[key] - n / 30000 / joins.HOT_SHARE) <= 2
     assert len(hot) <= 1 / joins.HOT_SHARE and sum(hot.values()) <= 2 / joins.HOT_SHARE
 
 
+def test_no_hot_keys_without_repeated_keys(spark):
+    assert joins.hot_keys(spark.range(20000).withColumnRenamed("id", "k"), "k").isEmpty()
+    assert joins.hot_keys(spark.range(0).withColumnRenamed("id", "k"), "k").isEmpty()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_keys_that_do_not_repeat_or_are_missing(spark, dim, how):
+    for key in ("id", "CAST(NULL AS BIGINT)", "IF(id < 9000, NULL, id)"):
+        facts = spark.range(10000).selectExpr(f"{key} AS k", "id AS v")
+        plain, found = facts.join(dim, "k", how), joins.shuffled_join(facts, dim, "k", how)
+        assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_join_equals_the_plain_join(facts, dim, how):
-    plain, salted = facts.join(dim, "k", how), joins.salted_join(facts, dim, "k", how)
+def test_pieces_give_the_rows_of_the_plain_join(facts, dim, how):
+    plain, salted = facts.join(dim, "k", how), joins.shuffled_join(facts, dim, "k", how)
     assert salted.columns == plain.columns
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
@@ -41,7 +54,7 @@ def test_rows_of_a_hot_key_are_spread(spark, facts, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = joins.salted_join(facts, dim, "k").where("k = 0")
+        joined = joins.shuffled_join(facts, dim, "k").where("k = 0")
         tasks = joined.groupBy(F.spark_partition_id()).count()
         assert tasks.count() >= 3
     finally:
@@ -59,7 +72,7 @@ def test_the_limit_decides(facts, dim):
 def test_string_keys(spark):
     facts = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     dim = spark.sql("SELECT * FROM VALUES ('hot', 1), ('500', 2) AS t(k, d)")
-    assert rows(joins.salted_join(facts, dim, "k").groupBy("d").count().orderBy("d")) == [(1, 400), (2, 1)]
+    assert rows(joins.shuffled_join(facts, dim, "k").groupBy("d").count().orderBy("d")) == [(1, 400), (2, 1)]
 
 
 def test_one_row_per_key(spark):
