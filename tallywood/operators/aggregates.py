@@ -41,7 +41,8 @@ def cell_totals(conditions: dict[str, Column], value: str = "score") -> list[Col
 
 
 def combined_cells(names: list[str]) -> list[Column]:
-    return [F.sum(f"{name}{part}").alias(f"{name}{part}") for name in names for part in (TOTAL, COUNT)]
+    columns = [f"{name}{part}" for name in names for part in (TOTAL, COUNT)]
+    return [F.sum(column).alias(column) for column in columns]
 
 
 def cell_mean(name: str) -> Column:

@@ -40,13 +40,15 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     returned table sees the same pieces. A missing key counts as a key.
     """
     groups = df.groupBy((F.spark_partition_id() % GROUPS).alias("g")).agg(
-        F.expr(f"approx_top_k({key}, {int(1 / HOT_SHARE)}, {TRACKED})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {int(1 / HOT_SHARE)}, {TRACKED})").alias("top"),
         F.count("*").alias("n"),
     )
     frequent = F.filter("top", lambda t: t["count"] > F.col("n") * HOT_SHARE / 4)
     keys = F.transform(
         frequent,
-        lambda t: F.struct(t["item"].alias("item"), t["count"].alias("n"), F.lit(False).alias("whole")),
+        lambda t: F.struct(
+            t["item"].alias("item"), t["count"].alias("n"), F.lit(False).alias("whole")
+        ),
     )
     no_key = F.lit(None).cast(df.schema[key].dataType)
     whole = F.array(F.struct(no_key.alias("item"), F.col("n"), F.lit(True).alias("whole")))

@@ -52,12 +52,16 @@ def orders_by_month(orders: DataFrame) -> DataFrame:
     return counts.orderBy("year", "month")
 
 
-def score_quality(reviews: DataFrame, low: int = LOWEST_SCORE, high: int = HIGHEST_SCORE) -> DataFrame:
+def score_quality(
+    reviews: DataFrame, low: int = LOWEST_SCORE, high: int = HIGHEST_SCORE
+) -> DataFrame:
     """One row: ``total, missing, outliers, valid, mean_valid``."""
     return quality_split(with_int_score(reviews), "review_score", low, high)
 
 
-def score_histogram(reviews: DataFrame, low: int = LOWEST_SCORE, high: int = HIGHEST_SCORE) -> DataFrame:
+def score_histogram(
+    reviews: DataFrame, low: int = LOWEST_SCORE, high: int = HIGHEST_SCORE
+) -> DataFrame:
     """``review_score, n`` of the valid scores."""
     scores = with_int_score(reviews.select("review_score"))
     return histogram(valid_rows(scores, "review_score", low, high), "review_score")
@@ -68,13 +72,16 @@ def item_revenue():
     return exact(F.col("price"), 4) + exact(F.col("freight_value"), 4)
 
 
-def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame, year: int) -> DataFrame:
+def revenue_by_category(
+    orders: DataFrame, items: DataFrame, products: DataFrame, year: int
+) -> DataFrame:
     """``product_category_name, revenue`` of the orders of one year, highest first.
 
     Revenue is summed per product before the product table is joined.
     """
     chosen = orders.where(in_year(F.col("order_purchase_timestamp"), year)).select("order_id")
-    sold = lookup_join(items.select("order_id", "product_id", item_revenue().alias("revenue")), chosen, "order_id")
+    priced = items.select("order_id", "product_id", item_revenue().alias("revenue"))
+    sold = lookup_join(priced, chosen, "order_id")
     per_product = sold.groupBy("product_id").agg(F.sum("revenue").alias("revenue"))
     named = per_product.join(products.select("product_id", "product_category_name"), "product_id")
     summed = named.groupBy("product_category_name").agg(F.sum("revenue").alias("revenue"))

@@ -29,7 +29,8 @@ def or_label(text: Column, label: str) -> Column:
 
 def item_lines(means: DataFrame) -> DataFrame:
     """Title, mean and count in columns of 65, 10 and 8 characters."""
-    return report_lines(means, [left(F.col("title"), 65), two_digits(F.col(MEAN), 10), right(F.col(N), 8)])
+    cells = [left(F.col("title"), 65), two_digits(F.col(MEAN), 10), right(F.col(N), 8)]
+    return report_lines(means, cells)
 
 
 def best_item_lines(
@@ -58,7 +59,8 @@ def item_report(
 def group_lines(means: DataFrame, group: str, widths: tuple[int, int, int]) -> DataFrame:
     """One group per line: genre (25), occupation (35) or year (10), then mean and count."""
     first, second, third = widths
-    return report_lines(means, [left(F.col(group), first), two_digits(F.col(MEAN), second), right(F.col(N), third)])
+    cells = [left(F.col(group), first), two_digits(F.col(MEAN), second), right(F.col(N), third)]
+    return report_lines(means, cells)
 
 
 def item_gender_lines(means: DataFrame) -> DataFrame:

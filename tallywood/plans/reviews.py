@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallywood.functions.text import clean, words
 from tallywood.operators.aggregates import rows_per
-from tallywood.operators.joins import fits_broadcast, lookup_join
+from tallywood.operators.joins import lookup_join
 from tallywood.operators.ranking import first_row, nested_top_n
 from tallywood.session import materialize
 
@@ -96,13 +96,10 @@ def _counted(found: DataFrame, stop_words: DataFrame | None) -> DataFrame:
     """``categories, word`` to ``category, word, freq``.
 
     Words are counted per array of categories, of which there are few, before the arrays are
-    taken apart. A short list of stop words is applied to the words, a long one to their counts.
+    taken apart. Stop words are looked up once per counted word, not once per token.
     """
-    early = stop_words is not None and fits_broadcast(stop_words)
-    if early:
-        found = without_stop_words(found, stop_words)
     counts = found.groupBy("categories", "word").agg(F.count("*").alias("n_word"))
-    if stop_words is not None and not early:
+    if stop_words is not None:
         counts = without_stop_words(counts, stop_words)
     single = counts.select("word", "n_word", F.inline("categories"))
     freq = F.sum(F.col("n_word") * F.col("weight"))

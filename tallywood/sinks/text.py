@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def key_value_lines(df: DataFrame, key: str, value: str, sep: str = "\t") -> DataFrame:
-    return df.select(F.concat(F.col(key).cast("string"), F.lit(sep), F.col(value).cast("string")).alias("line"))
+    line = F.concat(F.col(key).cast("string"), F.lit(sep), F.col(value).cast("string"))
+    return df.select(line.alias("line"))
 
 
 def write_key_value(df: DataFrame, path: str, key: str, value: str, sep: str = "\t") -> None:
@@ -16,7 +17,9 @@ def write_key_value(df: DataFrame, path: str, key: str, value: str, sep: str = "
 
 def bag_text(bag: Column, fields: list[str]) -> Column:
     """An array of structs as ``{(a,b),(c,d)}``."""
-    rows = F.transform(bag, lambda r: F.concat(F.lit("("), _joined([r[f] for f in fields], ","), F.lit(")")))
+    rows = F.transform(
+        bag, lambda r: F.concat(F.lit("("), _joined([r[f] for f in fields], ","), F.lit(")"))
+    )
     return F.concat(F.lit("{"), F.concat_ws(",", rows), F.lit("}"))
 
 

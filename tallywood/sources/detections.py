@@ -58,7 +58,9 @@ def frame_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return folder_stream(spark, path, FRAME_SCHEMA, files_per_trigger)
 
 
-def result_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def result_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
     return folder_stream(spark, path, RESULT_SCHEMA, files_per_trigger)
 
 

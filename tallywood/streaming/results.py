@@ -12,7 +12,9 @@ from tallywood.sinks.tables import messages, replace_table, stamped
 MINUTE = "1 minute"
 
 
-def started(writer: DataStreamWriter, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def started(
+    writer: DataStreamWriter, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
     """Start a query that recovers from ``checkpoint``.
 
     With an interval it runs until stopped; without one it reads what is there and ends.
