@@ -48,8 +48,7 @@ def without_image(results: DataFrame) -> DataFrame:
 
 def export_newest(results: DataFrame, path: str, n: int = 500) -> bool:
     """Write the newest results as JSON without their images; do nothing when there are none."""
-    selected = newest(without_image(results), n)
-    if selected.isEmpty():
+    if results.isEmpty():
         return False
-    selected.write.mode("overwrite").json(path)
+    newest(without_image(results), n).write.mode("overwrite").json(path)
     return True
