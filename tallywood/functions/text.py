@@ -28,3 +28,8 @@ def words(cleaned: Column) -> Column:
     A record is one line, so line breaks inside a text separate words like spaces do.
     """
     return F.split(cleaned, TOKEN_DELIMITERS, -1)
+
+
+def without_prefix(text: Column, prefix: str) -> Column:
+    """The text after a prefix; null where the text does not start with it."""
+    return F.when(text.startswith(prefix), F.substr(text, F.lit(len(prefix) + 1)))

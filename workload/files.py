@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallywood.functions.text import without_prefix
 from tallywood.plans import reviews as review_plans
 from tallywood.session import fresh_dir
 from tallywood.sinks import text as sinks
@@ -133,6 +134,15 @@ def delimited_file(spark, d):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def prefixed_addresses(spark, d):
+    """Addresses after a scheme; those with the other scheme have none."""
+    address = F.col("url")
+    return views.table(spark, d, "pages").select(
+        "page_id", without_prefix(address, "https://").alias("secure"),
+        without_prefix(address, "http://").alias("plain"),
+    )
+
+
 def preview_rows(spark, d):
     """The first rows of an ordered answer."""
     return sinks.preview(rating_queries.by_item_gender(spark, d), 20)
@@ -181,6 +191,10 @@ FROM information_schema.columns WHERE table_name IN ('customer', 'orders', 'part
         key_value_file, f"SELECT key || ' ' || value AS line FROM ({rating_queries.QUERIES['key_value_genres'][1]})"),
     "delimited_file": (
         delimited_file, "SELECT source || ',' || CAST(count(*) AS VARCHAR) AS line FROM documents GROUP BY source"),
+    "text_without_prefix": (
+        prefixed_addresses,
+        "SELECT page_id, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) END AS secure, "
+        "CASE WHEN starts_with(url, 'http://') THEN substr(url, 8) END AS plain FROM pages"),
     "preview_rows": (
         preview_rows, f"SELECT * FROM ({rating_queries.BY_GENDER_SQL}) ORDER BY item_id, gender LIMIT 20"),
 }

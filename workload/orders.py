@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallywood.operators import quality
 from tallywood.plans import orders as plans
 from tallywood.sources.orders import schema_report
 from workload import views
@@ -17,9 +18,9 @@ LOW, HIGH = 1, 50
 REVENUE_SQL = "(CAST(l_extendedprice AS DECIMAL(18,4)) + CAST(l_tax * 100 AS DECIMAL(18,4)))"
 DAYS_SQL = """(SELECT date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE) + 60) AS days
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus <> 'P')"""
-SCORES_SQL = """(SELECT CASE WHEN regexp_matches(s, '^[+-]?[0-9]+$') THEN CAST(s AS INTEGER) END AS score
-  FROM (SELECT trim(CASE event_type WHEN 'error' THEN k || ' pts' WHEN 'signup' THEN ' ' || k || ' ' ELSE k END) AS s
-        FROM (SELECT event_type, json_extract_string(props, '$.k') AS k FROM events)))"""
+SCORES_SQL = """(SELECT event_id, CASE WHEN regexp_matches(s, '^[+-]?[0-9]+$') THEN CAST(s AS INTEGER) END AS score
+  FROM (SELECT event_id, trim(CASE event_type WHEN 'error' THEN k || ' pts' WHEN 'signup' THEN ' ' || k || ' ' ELSE k END) AS s
+        FROM (SELECT event_id, event_type, json_extract_string(props, '$.k') AS k FROM events)))"""
 SELLERS_SQL = f"""(SELECT l_suppkey AS seller_id, CAST(round(sum({REVENUE_SQL}), 2) AS DOUBLE) AS revenue,
   count(DISTINCT l_orderkey) AS n_orders FROM lineitem GROUP BY l_suppkey)"""
 RANKED_SQL = f"""SELECT *, dense_rank() OVER (ORDER BY revenue DESC) AS revenue_rank,
@@ -60,6 +61,16 @@ def score_mean(spark, d):
     return plans.score_quality(views.scored_events(spark, d), LOW, HIGH).select("mean_valid")
 
 
+def score_outliers(spark, d):
+    scores = quality.with_int_score(views.scored_events(spark, d))
+    return quality.outlier_rows(scores, "review_score", LOW, HIGH)
+
+
+def score_missing(spark, d):
+    scores = quality.with_int_score(views.scored_events(spark, d))
+    return quality.missing_rows(scores, "review_score").select("event_id")
+
+
 def score_histogram(spark, d):
     return plans.score_histogram(views.scored_events(spark, d), LOW, HIGH)
 
@@ -116,6 +127,10 @@ GROUP BY n.n_name"""),
     "score_mean_valid": (
         score_mean,
         f"SELECT {half_up('sum(score) / count(*)')} AS mean_valid FROM {SCORES_SQL} WHERE score BETWEEN {LOW} AND {HIGH}"),
+    "score_outlier_rows": (
+        score_outliers,
+        f"SELECT event_id, score AS review_score FROM {SCORES_SQL} WHERE score < {LOW} OR score > {HIGH}"),
+    "score_missing_rows": (score_missing, f"SELECT event_id FROM {SCORES_SQL} WHERE score IS NULL"),
     "score_histogram": (
         score_histogram,
         f"SELECT score AS review_score, count(*) AS n FROM {SCORES_SQL} WHERE score BETWEEN {LOW} AND {HIGH} GROUP BY score"),

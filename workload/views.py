@@ -141,7 +141,7 @@ def scored_events(spark, sf_dir) -> DataFrame:
         .when(F.col("event_type") == "signup", F.concat(F.lit(" "), k, F.lit(" ")))
         .otherwise(k)
     )
-    return table(spark, sf_dir, "events").select(score.alias("review_score"))
+    return table(spark, sf_dir, "events").select("event_id", score.alias("review_score"))
 
 
 # Detections: an event is a frame of the camera named by its type.
