@@ -14,9 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Only detect_frames moves rows to Python, and its rows hold images of up to 10 MB.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
 }
+# For sessions that run detect_frames: the rows it moves to Python hold images of up to 10 MB.
+IMAGE_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,7 +26,7 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **IMAGE_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
