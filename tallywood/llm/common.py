@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywood.session import materialize
 
-__all__ = ["fold", "map_rows", "materialize", "read_table"]
+__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "with_range"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,3 +61,27 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array):
         return values if values.type == kind else values.cast(kind)
     return pa.array(values, type=kind)
+
+
+def partitions(spark: SparkSession) -> int:
+    """Tasks of a shuffle, as the deployment has set them."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_range(df: DataFrame, key: str, ranges: int, name: str = "__range") -> DataFrame:
+    """Rows with the number of a range of a whole-number key, ascending, of about equal counts.
+
+    The cuts are approximate quantiles from one pass over the key alone, one number for each
+    range; they decide how even the ranges are and nothing else. Equal keys share a range, a
+    null key belongs to the first.
+    """
+    points = [i / ranges for i in range(1, ranges)] or [0.5]
+    cuts = df.agg(F.percentile_approx(key, points, max(10_000, 20 * ranges))).first()[0] or []
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        known = keys.notna()
+        numbers = np.searchsorted(np.array(cuts, np.int64), keys.where(known, 0).astype("int64"), "right")
+        return pd.Series(np.where(known, numbers, 0).astype("int32"))
+
+    return df.withColumn(name, place(key))

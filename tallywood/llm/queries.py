@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallywood.llm import language_spans
+from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
-from tallywood.llm.common import read_table
+from tallywood.llm.common import fold, read_table
+from tallywood.llm.quartile_digest import edited_digests
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +19,26 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_table(docs, path, public_tokenizers.PATTERN)
 
 
+def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(read_table(spark, sf_dir, "documents"), 16).withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    )
+
+
+def quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_digests(read_table(spark, sf_dir, "documents"))
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    model = language_spans.fit(docs.where(~F.col("held_out")))
+    return language_spans.predict(docs, model, keep=("held_out",))
+
+
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
     "op5_byte_bpe_prefixes": (byte_bpe, None),
+    "op6_byte_shards": (byte_shards, None),
+    "op7_quartile_digest": (quartile_digest, None),
+    "op9_language_spans": (language, None),
 }
