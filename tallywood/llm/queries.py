@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywood.llm import language_spans
+from tallywood.llm import language_spans, toxicity, wavelet_shards
 from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
 from tallywood.llm.common import fold, read_table
 from tallywood.llm.quartile_digest import edited_digests
+from tallywood.llm.site_lines import drop_boilerplate, host_of, page_text
+from tallywood.session import fresh_dir
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +37,33 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_spans.predict(docs, model, keep=("held_out",))
 
 
+def wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "shards")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    wavelet_shards.write_shards(read_table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    return wavelet_shards.documents(spark, path)
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    labels = read_table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model, keep=("doc_id", "held_out"))
+
+
+def site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    pages = pages.select("page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text"))
+    return drop_boilerplate(pages, "host", "text")
+
+
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
+    "op2_wavelet_shards": (wavelet, None),
+    "op3_toxicity_trees": (toxic, None),
     "op5_byte_bpe_prefixes": (byte_bpe, None),
     "op6_byte_shards": (byte_shards, None),
     "op7_quartile_digest": (quartile_digest, None),
+    "op8_site_lines": (site_lines, None),
     "op9_language_spans": (language, None),
 }
