@@ -10,6 +10,7 @@ from tallywood.llm import language_spans, toxicity, wavelet_shards
 from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
 from tallywood.llm.common import fold, read_table
+from tallywood.llm.partenum import similarity_components
 from tallywood.llm.quartile_digest import edited_digests
 from tallywood.llm.site_lines import drop_boilerplate, host_of, page_text
 from tallywood.session import fresh_dir
@@ -57,10 +58,15 @@ def site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(pages, "host", "text")
 
 
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_components(read_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
     "op2_wavelet_shards": (wavelet, None),
     "op3_toxicity_trees": (toxic, None),
+    "op4_ngram_jaccard": (ngram_jaccard, None),
     "op5_byte_bpe_prefixes": (byte_bpe, None),
     "op6_byte_shards": (byte_shards, None),
     "op7_quartile_digest": (quartile_digest, None),
