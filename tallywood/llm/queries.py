@@ -10,6 +10,7 @@ from tallywood.llm import language_spans, toxicity, wavelet_shards
 from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
 from tallywood.llm.common import fold, read_table
+from tallywood.llm.decontamination import contaminated
 from tallywood.llm.partenum import similarity_components
 from tallywood.llm.quartile_digest import edited_digests
 from tallywood.llm.site_lines import drop_boilerplate, host_of, page_text
@@ -62,8 +63,13 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(read_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
+    "op1_spaced_seeds": (decontamination, None),
     "op2_wavelet_shards": (wavelet, None),
     "op3_toxicity_trees": (toxic, None),
     "op4_ngram_jaccard": (ngram_jaccard, None),
