@@ -11,6 +11,7 @@ from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
 from tallywood.llm.common import fold, read_table
 from tallywood.llm.decontamination import contaminated
+from tallywood.llm.lm_difference import cross_entropy_difference
 from tallywood.llm.partenum import similarity_components
 from tallywood.llm.quartile_digest import edited_digests
 from tallywood.llm.site_lines import drop_boilerplate, host_of, page_text
@@ -67,6 +68,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likeness to the documents of good quality rather than to all others."""
+    good = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    scored = cross_entropy_difference(read_table(spark, sf_dir, "documents"), good)
+    losses = ("target_loss", "background_loss", "difference")
+    return scored.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in losses])
+
+
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
     "op1_spaced_seeds": (decontamination, None),
@@ -78,4 +87,5 @@ QUERIES = {
     "op7_quartile_digest": (quartile_digest, None),
     "op8_site_lines": (site_lines, None),
     "op9_language_spans": (language, None),
+    "op10_lm_difference": (lm_difference, None),
 }
