@@ -1,10 +1,90 @@
-"""Corpus cleaning: documents in, digests of the encoded documents that stay out."""
+"""Corpus cleaning in stages: documents in, digests of the encoded documents that stay out.
+
+Every stage works on the whole of what the one before it has kept, which it finds written as
+Parquet; all but the last return the columns of ``documents``. A stage that starts again after a
+failure reads the same rows.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallywood.llm import language_spans
+from tallywood.llm.byte_bpe import digest_table
+from tallywood.llm.common import materialize, read_table, without
+from tallywood.llm.decontamination import contaminated
+from tallywood.llm.partenum import similarity_components
+from tallywood.llm.site_lines import drop_boilerplate
+
+# A document goes if the language found for it explains less of its letters than this.
+LEAST_SCORE = 0.3
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language: those without letters and those that fit none go.
+
+    The languages are learned from the rows that have one; a missing language is filled in.
+    """
+    columns, names = docs.columns, ("__lang", "__score", "__spans")
+    model = language_spans.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_spans.predict(docs, model, keep=tuple(columns), names=names)
+    kept = found.where((F.col("__lang") != language_spans.UNDETERMINED) & (F.col("__score") >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*columns)
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many documents of their source have.
+
+    A document that consists of such lines stays whole, as it is a copy of others.
+    """
+    cleaned = drop_boilerplate(docs, "source", "text", keep_whole=True)
+    changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the least id.
+
+    Two documents are near copies if their sets of five-word shingles have a Jaccard similarity
+    of 0.8 or more. Of rows that share an id one stays; rows without an id stay.
+    """
+    found = materialize(similarity_components(docs, width=5, percent=80).where(F.col("doc_id").isNotNull()))
+    copies = found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n"))
+    kept = without(docs, copies.where("first <> doc_id"), "doc_id")
+    repeated = materialize(copies.where("first = doc_id AND n > 1").select("doc_id"))
+    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return without(kept, repeated, "doc_id").unionByName(again)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return without(docs, contaminated(docs, read_table(spark, sf_dir, "benchmark")), "doc_id")
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and hashes of the encoded and of the decoded text of every document."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digest_table(docs, path, public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("line dedup", without_boilerplate),
+    ("n-gram Jaccard join", without_near_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("byte-level BPE", encoded),
+]
+
+# The first and the last stage have no SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return docs

@@ -9,10 +9,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallywood.session import materialize
 
-__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "with_range"]
+__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "with_range", "without"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +34,8 @@ def map_rows(
     learned from one batch for the next one of its task, and yields columns as Arrow arrays,
     numpy arrays or lists in the order of ``schema``.
     """
-    spark_schema = df.sparkSession.createDataFrame([], schema).schema
-    names = spark_schema.fieldNames()
-    types = [_arrow_type(f.dataType.typeName()) for f in spark_schema]
+    fields = df.sparkSession.createDataFrame([], schema).schema
+    names, types = fields.fieldNames(), [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in work(tuple(batch.columns) for batch in batches):
@@ -45,16 +45,6 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, schema)
 
 
-_TYPES = {
-    "long": pa.int64(), "integer": pa.int32(), "double": pa.float64(), "string": pa.string(),
-    "boolean": pa.bool_(), "binary": pa.binary(), "array": pa.list_(pa.int64()),
-}
-
-
-def _arrow_type(name: str) -> pa.DataType:
-    return _TYPES[name]
-
-
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
@@ -85,3 +75,13 @@ def with_range(df: DataFrame, key: str, ranges: int, name: str = "__range") -> D
         return pd.Series(np.where(known, numbers, 0).astype("int32"))
 
     return df.withColumn(name, place(key))
+
+
+def without(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
+    """Rows whose id is not among ``ids``; a null id is an id like any other.
+
+    The ids are written once. Spark broadcasts them where their size allows, and beyond that
+    shuffles both sides.
+    """
+    dropped = materialize(ids.select(F.col(id_column).alias("__id")).distinct())
+    return docs.join(dropped, F.col(id_column).eqNullSafe(F.col("__id")), "left_anti")

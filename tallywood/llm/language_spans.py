@@ -11,13 +11,13 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.llm.common import map_rows
 
 UNDETERMINED = "und"
-# Documents of each language that the model is fitted on, those with the least hash of their id.
+# Documents of each language that the model is fitted on, chosen by the hash of their id.
 SAMPLE = 1500
 # Cost of changing the language between two words, in nats.
 SWITCH = 10.0
@@ -85,18 +85,17 @@ def fit(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", language: str = "lang",
     sample: int = SAMPLE,
 ) -> LanguageModel:
-    """A model of the languages of ``docs``, fitted on at most ``sample`` texts of each.
+    """A model of the languages of ``docs``, fitted on about ``sample`` texts of each.
 
-    Rows without language or text do not count. The rows are chosen by the hash of their id, so
-    that every run takes the same ones; the counts of triples, one row for each triple and
-    language of the sample, are all that reaches the driver.
+    Rows without language or text do not count. A language with more rows takes those whose id
+    has a hash below the share that makes ``sample`` rows expected, so every run takes the same
+    ones; no text is shuffled. The counts of triples, one row for each triple and language of the
+    sample, are all that reaches the driver.
     """
-    order = Window.partitionBy(language).orderBy(F.xxhash64(id_column), id_column, F.xxhash64(text))
-    chosen = (
-        docs.select(id_column, text, language)
-        .where(F.col(language).isNotNull() & F.col(text).isNotNull())
-        .withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= sample)
-    )
+    known = docs.select(id_column, text, language).where(F.col(language).isNotNull() & F.col(text).isNotNull())
+    sizes = known.groupBy(language).agg(F.count("*").alias("__n"))  # one row per language
+    drawn = F.pmod(F.xxhash64(id_column), F.lit(1 << 30)) * F.col("__n") < sample * (1 << 30)
+    chosen = known.join(F.broadcast(sizes), language).where(drawn)
 
     def count(batches):
         for languages, texts in batches:
@@ -231,9 +230,12 @@ class Labeller:
 def predict(
     docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text: str = "text",
     keep: tuple[str, ...] = (), switch: float = SWITCH,
+    names: tuple[str, str, str] = ("lang_pred", "score", "spans"),
 ) -> DataFrame:
     """``id, lang_pred, score, spans`` of every text, and the columns to ``keep``.
 
+    ``names`` renames the three new columns, for inputs that have such names of their own.
+
     ``spans`` lists the runs of words of one language as ``from-to:language``. ``score`` is the
     share of the letters in spans of the language, times the probability of the language for
     those spans. A text without letters, empty or null, is ``und`` with score 0 and no spans, and
@@ -241,15 +243,15 @@ def predict(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # grows with the sample only
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    columns = [id_column, *[c for c in keep if c not in (id_column, text)]]
+    columns = [id_column, *[c for c in keep if c != id_column]]
 
     def work(batches):
         labeller = Labeller(shared.value, switch)
         for *kept, texts in batches:
             rows = list(labeller.label(texts.to_pylist()))
-            kept_text = [texts] if text in keep else []
-            yield *kept, *kept_text, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+            yield *kept, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
 
-    out = [*columns, *([text] if text in keep else [])]
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in out) + ", lang_pred string, score double, spans string"
-    return map_rows(docs, [*columns, text], work, schema)
+    new = zip(names, ("string", "double", "string"), strict=True)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in columns] + [f"`{n}` {k}" for n, k in new])
+    rows = docs.select(*columns, F.col(text).alias("__text"))
+    return map_rows(rows, [*columns, "__text"], work, schema)

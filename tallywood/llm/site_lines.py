@@ -40,7 +40,7 @@ def _key(line: Column) -> Column:
 def boilerplate(
     pages: DataFrame, site: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES
 ) -> DataFrame:
-    """``site, lines``: of each site with boilerplate the keys of its boilerplate lines.
+    """``site, lines`` as internal columns: of each site with boilerplate the keys of its boilerplate lines.
 
     A line counts once for a page, without the blanks around it; blank lines do not count. Lines
     are compared by a 64-bit hash. Counts are combined within a task before they are shuffled, so
@@ -57,7 +57,7 @@ def boilerplate(
     frequent = counts.where(F.col("key").isNotNull()).join(totals, "__site")
     frequent = frequent.where(F.col("n") > ratio * F.col("pages"))
     # A page has so many lines, so a site has no more than these over the ratio in such a list.
-    return frequent.groupBy("__site").agg(F.sort_array(F.collect_list("key")).alias("lines"), F.max("pages").alias("pages"))
+    return frequent.groupBy("__site").agg(F.sort_array(F.collect_list("key")).alias("__lines"), F.max("pages").alias("pages"))
 
 
 def drop_boilerplate(
@@ -69,7 +69,8 @@ def drop_boilerplate(
     ``n_lines`` counts the lines of the text, ``n_dropped`` those taken out. Other lines stay as
     they are, blank ones too. With ``keep_whole`` a text of which no visible line would be left
     stays whole: it is a copy of other pages rather than a page around boilerplate. Rows without
-    a site form a site of their own; a null text stays null with no lines.
+    a site form a site of their own; a null text stays null with no lines. Columns of the input
+    that are named like the two new ones give way to them.
 
     The list of a site meets its pages by a broadcast where Spark finds the lists small enough,
     otherwise by a join in which a site with many pages is dealt out in pieces.
@@ -82,11 +83,11 @@ def drop_boilerplate(
     large = F.broadcast(known.select(F.col("__site"), pieces.alias("__pieces")).where("__pieces > 1"))
     left = pages.withColumn("__site", F.coalesce(F.col(site), F.lit(""))).join(large, "__site", "left")
     left = left.withColumn("__piece", F.coalesce(F.pmod(F.xxhash64(text), F.col("__pieces")), F.lit(0)).cast("int"))
-    right = known.select("__site", "lines", F.explode(F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)).alias("__piece"))
+    right = known.select("__site", "__lines", F.explode(F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)).alias("__piece"))
     both = left.join(right, ["__site", "__piece"], "left")
     both = both.withColumn("__all", F.split(text, "\n"))
-    is_kept = F.when(F.col("lines").isNull(), F.col("__all")).otherwise(
-        F.filter("__all", lambda line: ~F.array_contains("lines", _key(line)))
+    is_kept = F.when(F.col("__lines").isNull(), F.col("__all")).otherwise(
+        F.filter("__all", lambda line: ~F.array_contains("__lines", _key(line)))
     )
     both = both.withColumn("__kept", is_kept)
     if keep_whole:
@@ -96,5 +97,5 @@ def drop_boilerplate(
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(n_lines).cast("long")
     n_kept = F.when(F.col(text).isNull(), 0).otherwise(F.size("__kept")).cast("long")
     cleaned = F.array_join("__kept", "\n").alias(text)
-    ordered = [cleaned if c == text else F.col(c) for c in pages.columns]
+    ordered = [cleaned if c == text else F.col(c) for c in pages.columns if c not in ("n_lines", "n_dropped")]
     return both.select(*ordered, n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"))
