@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -20,9 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from tallywood.llm.common import map_rows
+from tallywood.llm.word_memory import WordMemory
 
-# Words whose tokens a Python worker remembers; the memory starts anew when it is full.
-REMEMBERED_WORDS = 300_000
+# Words whose tokens a Python worker remembers.
+REMEMBERED_WORDS = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -318,71 +319,31 @@ class ManyWords:
 
 
 class TextEncoder:
-    """Encodes batches of texts; remembers the words it has seen.
-
-    The pattern must start a piece at every single space between two visible characters, as the
-    usual patterns for byte-level vocabularies do; a text is then cut at these spaces, and what
-    lies between two of them is looked up as a whole. Any other white space at such a cut sends
-    the text through the pattern as a whole.
-    """
-
-    SLICE = 4_000_000
+    """Encodes batches of texts with a pattern; remembers the words it has seen."""
 
     def __init__(self, bpe: PrefixBpe):
-        self.bpe, self.many, self.words = bpe, ManyWords(bpe), {}
-
-    def encode(self, texts: list[str | None]):
-        """The ids of each text, one after another; some millions of characters at a time."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < self.SLICE):
-                size += len(texts[end] or "")
-                end += 1
-            yield from self._encode(texts[at:end])
-            at = end
-
-    def _encode(self, texts: list[str | None]):
-        words = self.words
-        if len(words) >= REMEMBERED_WORDS:
-            words.clear()
-        cut = [self._cut(text) for text in texts]
-        found = [list(map(words.get, parts)) for parts in cut]
-        new = list({part for parts, ids in zip(cut, found, strict=True) if None in ids
-                    for part, known in zip(parts, ids, strict=True) if known is None})
-        words.update(zip(new, self._new(new), strict=True))
-        for parts, ids in zip(cut, found, strict=True):
-            yield list(chain.from_iterable(map(words.get, parts) if None in ids else ids))
-        for word in new:
-            if len(word) > 64:
-                del words[word]
-
-    def _new(self, parts: list[str]):
-        """The ids of parts that are not known yet."""
-        ranks, alone = self.bpe.ranks, {}
-        pieces = [[p.encode() for p in self.bpe.pattern.findall(part)] for part in parts]
+        self.bpe, self.many = bpe, ManyWords(bpe)
+        self.memory = WordMemory(self._ids, REMEMBERED_WORDS)
+
+    def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
+        """The ids of each text, one after another."""
+        for values in self.memory.values(texts):
+            yield list(chain.from_iterable(values))
+
+    def _ids(self, strings: list[str]) -> list[tuple[int, ...]]:
+        """The ids of strings; their short pieces are encoded together."""
+        ranks = self.bpe.ranks
+        pieces = [[p.encode() for p in self.bpe.pattern.findall(s)] for s in strings]
         short = list({p for ps in pieces for p in ps if p not in ranks and len(p) <= ManyWords.WIDEST})
-        alone.update(zip(short, map(tuple, self.many.encode(short)), strict=True))
+        alone = dict(zip(short, map(tuple, self.many.encode(short)), strict=True))
+        found = []
         for ps in pieces:
-            ids = ()
             for p in ps:
-                known = alone.get(p)
-                if known is None:
-                    known = alone[p] = tuple(self.bpe.encode_piece(p))
-                ids += known
-            yield ids
-
-    @staticmethod
-    def _cut(text: str | None) -> list[str]:
-        """The text in parts, each but the first from a space on; their join is the text."""
-        if not text:
-            return []
-        if SPACE_AND_SPACE.search(text):
-            return [text]
-        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-
+                if p not in alone:
+                    alone[p] = tuple(self.bpe.encode_piece(p))
+            found.append(tuple(chain.from_iterable(map(alone.__getitem__, ps))))
+        return found
 
-SPACE_AND_SPACE = re.compile(r"\s | \s| $")
 
 _OPEN: dict[tuple, TextEncoder] = {}
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -177,11 +178,11 @@ def _encoder(key: str, shared) -> tuple[WordMemory, int]:
         tokenizer = Tokenizer.from_str(shared.value)
         tokenizer.encode_special_tokens = True
         planes = max(1, (tokenizer.get_vocab_size() - 1).bit_length())
-        kind = np.uint16 if planes <= 16 else np.uint32
+        code = "H" if planes <= 16 else "I"
 
         def encode(strings: list[str]) -> list[bytes]:
             found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-            return [np.array(e.ids, kind).tobytes() for e in found]
+            return [array(code, e.ids).tobytes() for e in found]
 
         _OPEN[key] = WordMemory(encode), planes
     return _OPEN[key]

@@ -5,22 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 
+class _Codes(dict):
+    """Numbers of words; a word that is not known yet gets the next one."""
+
+    def __init__(self, known: dict[str, int], next_code: int):
+        super().__init__(known)
+        self.next_code, self.new = next_code, []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = self.next_code
+        self.next_code += 1
+        self.new.append(word)
+        return code
+
+
 class WordMemory:
     """Cuts texts at single spaces and remembers what ``encode`` makes of the parts.
 
     ``encode`` takes a list of strings and returns a value for each. It must begin a new piece at
     every space between two visible characters, as the usual byte-level patterns do; then the
     values of the parts, each with the space before it, make up that of the text. A text in which
-    other white space meets such a space is encoded as a whole. The memory is emptied when it
-    holds ``remembered`` parts, and texts are taken in slices of bounded size.
+    other white space meets such a space is encoded as a whole. Texts are taken in slices of
+    bounded size; a memory of more than ``remembered`` parts keeps those of its last slice.
     """
 
     SLICE = 3_000_000
     LONGEST = 64
 
-    def __init__(self, encode: Callable[[list[str]], list], remembered: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list], remembered: int = 500_000):
         self.encode, self.remembered = encode, remembered
-        self.words: dict[str, object] = {}
+        self.codes, self.known = _Codes({}, 0), []
 
     def values(self, texts: list[str | None]) -> Iterator[list]:
         """Of each text the values of its parts, in order; none for null and empty texts."""
@@ -34,31 +48,30 @@ class WordMemory:
             at = end
 
     def _values(self, texts: list[str | None]) -> Iterator[list]:
-        words = self.words
-        if len(words) >= self.remembered:
-            words.clear()
-        cut, found, new = [], [], set()
+        cut = []
         for text in texts:
             parts = text.split(" ") if text else []
             if parts:
                 parts[0] = " " + parts[0]  # a key that no later part can have
-            known = list(map(words.get, parts))
-            if None in known:
-                new.update(part for part, value in zip(parts, known, strict=True) if value is None)
-            cut.append(parts)
-            found.append(known)
+            cut.append(list(map(self.codes.__getitem__, parts)))
+        new, self.codes.new = self.codes.new, []
         sound = [part for part in new if self._sound(part)]
-        strings = [part[1:] if part[0] == " " else " " + part for part in sound]
-        words.update(zip(sound, self.encode(strings), strict=True))
-        for text, parts, known in zip(texts, cut, found, strict=True):
-            if None in known:
-                known = list(map(words.get, parts))
-                if None in known:
-                    known = self.encode([text])
-            yield known
-        for part in sound:
+        found = iter(self.encode([part[1:] if part[0] == " " else " " + part for part in sound]))
+        sound = set(sound)
+        self.known.extend(next(found) if part in sound else None for part in new)
+        for text, codes in zip(texts, cut, strict=True):
+            parts = list(map(self.known.__getitem__, codes))
+            yield self.encode([text]) if None in parts else parts
+        if len(self.known) > self.remembered:
+            self._keep({code for codes in cut for code in codes})
+        for part in new:
             if len(part) > self.LONGEST:
-                del words[part]
+                self.codes.pop(part, None)
+
+    def _keep(self, codes: set[int]) -> None:
+        kept = [(word, self.known[code]) for word, code in self.codes.items() if code in codes]
+        self.codes = _Codes({word: code for code, (word, _) in enumerate(kept)}, len(kept))
+        self.known = [value for _, value in kept]
 
     @staticmethod
     def _sound(part: str) -> bool:
