@@ -22,7 +22,9 @@ def fixed_half_even(value: Column, digits: int = 2) -> Column:
 
 
 def round_half_even(value: Column, digits: int = 2) -> Column:
-    return fixed_half_even(value, digits).cast("double")
+    """The same as a number; nan and infinities stay what they are."""
+    finite = F.abs(value) < F.lit(float("inf"))  # nan is above all numbers
+    return F.when(finite, fixed_half_even(F.when(finite, value), digits).cast("double")).otherwise(value)
 
 
 def fixed_half_up(value: Column, digits: int = 2) -> Column:

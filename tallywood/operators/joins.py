@@ -5,100 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.session import materialize
 
-# A key with more than HOT_SHARE of the rows is cut into pieces of about that share each: at
-# most about 1 / HOT_SHARE keys and 2 / HOT_SHARE pieces, whatever the size of the data.
-# TRACKED bounds a sketch and its error (about 0.0002); GROUPS bounds the number of sketches.
-HOT_SHARE = 0.0005
-TRACKED = 8192
-GROUPS = 256
-
-_PIECES, _PIECE = "__pieces", "__piece"
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; file sizes bound it for tables read from files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 where broadcasts are switched off."""
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def fits_broadcast(dim: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(dim) <= (broadcast_limit(dim) if limit is None else limit)
-
-
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys with more than their share of the rows and their number of pieces.
-
-    Each group of read partitions keeps a bounded sketch of its frequent keys; the counts of a
-    key are then added up over the groups. A key that a sketch misses or misjudges changes the
-    work of a task, not a result. The counts are written once, so that every reader of the
-    returned table sees the same pieces. A missing key counts as a key.
-    """
-    groups = df.groupBy((F.spark_partition_id() % GROUPS).alias("g")).agg(
-        F.expr(f"approx_top_k(`{key}`, {int(1 / HOT_SHARE)}, {TRACKED})").alias("top"),
-        F.count("*").alias("n"),
-    )
-    frequent = F.filter("top", lambda t: t["count"] > F.col("n") * HOT_SHARE / 4)
-    keys = F.transform(
-        frequent,
-        lambda t: F.struct(
-            t["item"].alias("item"), t["count"].alias("n"), F.lit(False).alias("whole")
-        ),
-    )
-    no_key = F.lit(None).cast(df.schema[key].dataType)
-    whole = F.array(F.struct(no_key.alias("item"), F.col("n"), F.lit(True).alias("whole")))
-    seen = groups.select(F.inline(F.concat(keys, whole)))
-    counts = materialize(seen.groupBy("item", "whole").agg(F.sum("n").alias("n")))
-
-    total = counts.where("whole").select("n").scalar()
-    pieces = F.ceil(F.col("n") / total / HOT_SHARE).cast("int")
-    hot = counts.where(~F.col("whole") & (F.col("n") > total * HOT_SHARE))
-    return hot.select(F.col("item").alias(key), pieces.alias(_PIECES))
-
-
-def shuffled_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Equi-join of two shuffled sides in which no key with many facts goes to one task.
-
-    Without hot keys this is a plain join. Facts of a hot key get the number of a piece, taken
-    from the partition they were read in; the matching dimension rows are repeated once per
-    piece. Every fact row meets each of its dimension rows exactly once. Facts without a key
-    are spread as well (outer and anti joins keep them). The key column of the facts is read
-    one more time, by a job of its own, to find the hot keys.
-    """
-    hot = hot_keys(facts.select(key), key)
-    if how == "inner":
-        hot = hot.where(F.col(key).isNotNull())
-    if hot.isEmpty():
-        return facts.join(dim, key, how)
-    hot = F.broadcast(hot)
-    partition = F.spark_partition_id()
-    piece = (
-        F.when(F.col(key).isNull(), partition)
-        .when(F.col(_PIECES).isNotNull(), partition % F.col(_PIECES))
-        .otherwise(0)
-    )
-    left = facts.join(hot, key, "left").withColumn(_PIECE, piece).drop(_PIECES)
-    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    right = dim.join(hot, key, "left").withColumn(_PIECE, F.explode(copies)).drop(_PIECES)
-    return left.join(right, [key, _PIECE], how).drop(_PIECE)
-
-
-def lookup_join(
-    facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", limit: int | None = None
-) -> DataFrame:
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Facts with a dimension (inner, left or left_anti).
 
-    A dimension within the broadcast limit leaves the facts where they are; Spark makes that
-    choice from the same estimate. Beyond the limit both sides are shuffled, hot keys in pieces.
+    Spark compares the dimension with ``spark.sql.autoBroadcastJoinThreshold``: within it the
+    facts stay where they are, beyond it both sides are shuffled, and adaptive execution splits
+    the facts of a hot key over several tasks as soon as it has seen the shuffled sizes. Nothing
+    runs while the join is being built.
     """
-    join = DataFrame.join if fits_broadcast(dim, limit) else shuffled_join
     added = [] if how == "left_anti" else [c for c in dim.columns if c != key]
-    return join(facts, dim, key, how).select(*facts.columns, *added)
+    return facts.join(dim, key, how).select(*facts.columns, *added)
 
 
 def one_row_per_key(dim: DataFrame, key: str, value: str, position: str = "position") -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tallywood.operators.joins import lookup_join
 from tallywood.session import materialize
 
-MAX_BUCKETS = 1000
-
 
 def top_n_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every group, with their place in ``rank``.
@@ -45,23 +43,18 @@ def newest(results: DataFrame, n: int, moment: str = "stored_at") -> DataFrame:
 def global_dense_rank(
     df: DataFrame, column: str, name: str, buckets: int | None = None
 ) -> DataFrame:
-    """Dense rank of a numeric column over all rows, highest first, nulls last.
+    """Dense rank of a column over all rows, highest first, nulls last.
 
-    The distinct values are cut into ranges at approximate quantiles and ranked range by
-    range; a range starts where the counts of the higher ranges end. The cuts decide only how
-    even the ranges are. No task holds more than one range, and the table of range sizes has
-    ``buckets`` rows. ``df`` is read more than once, so pass a written table or a cheap plan.
+    The distinct values are range-partitioned and ranked range by range; a range starts where the
+    counts of the higher ranges end. No task holds more than one range, and the table of range
+    sizes has ``buckets`` rows (the shuffle partitions of the session). ``df`` is read twice.
     """
     if buckets is None:
-        buckets = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    points = [i / buckets for i in range(1, buckets)] or [0.5]
-    cuts = values.agg(F.percentile_approx(column, points, 10 * buckets)).scalar()
-    higher_cuts = F.filter("cuts", lambda c: c > F.col(column))
-    # Written once: every use below must see the same cuts.
-    ranges = materialize(
-        values.withColumn("cuts", cuts).select(column, F.size(higher_cuts).alias("range"))
-    )
+    ranged = values.repartitionByRange(buckets, F.desc(column))
+    # Written once: every use below must see the same ranges.
+    ranges = materialize(ranged.withColumn("range", F.spark_partition_id()))
 
     in_range = F.row_number().over(Window.partitionBy("range").orderBy(F.desc(column)))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

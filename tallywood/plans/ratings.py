@@ -144,9 +144,10 @@ def mean_by_item_band(ratings: DataFrame, users: DataFrame) -> DataFrame:
 def band_map(means: DataFrame) -> DataFrame:
     """``item_id, bands``: the rows of ``mean_by_item_band`` as one map per item.
 
-    A map has one entry per band, seven at most.
+    A map has one entry per band, seven at most; ratings of users without an age are left out,
+    and an item with no others has an empty map.
     """
-    entry = F.struct("band", F.struct(MEAN, N))
+    entry = F.when(F.col("band").isNotNull(), F.struct("band", F.struct(MEAN, N)))
     return means.groupBy("item_id").agg(F.map_from_entries(F.collect_list(entry)).alias("bands"))
 
 

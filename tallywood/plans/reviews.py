@@ -6,23 +6,19 @@ stop words ``word``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions.text import clean, words
 from tallywood.operators.aggregates import rows_per
 from tallywood.operators.joins import lookup_join
 from tallywood.operators.ranking import first_row, nested_top_n
-from tallywood.session import materialize
 
 # A word is frequent above this count; so many words are listed per category.
 FREQUENT_ABOVE = 500
 TOP_WORDS = 5
 POSITIVE, NEGATIVE = "positive", "negative"
 
-# Ids with more categories than this are counted by id and word.
-MOST_CATEGORIES = 64
-
 
 def tokens(reviews: DataFrame) -> DataFrame:
     """``id, word``: every word of the cleaned text, in no particular order."""
@@ -69,114 +65,34 @@ def _chosen(sentiment: str | None) -> Column:
     return F.coalesce(F.col("sentiment") == sentiment, F.lit(False))
 
 
-def _weighted(category: Column, n: Column) -> Column:
-    """A category with its number of reviews; a missing category counts for nothing."""
-    weight = F.when(category.isNotNull(), n).otherwise(0).cast("bigint")
-    return F.struct(category.alias("category"), weight.alias("weight"))
-
-
-def categories_by_id(reviews: DataFrame, chosen: Column, most: int, least_rows: int) -> DataFrame:
-    """``id, listed``: the categories of the chosen reviews of an id with their numbers.
-
-    Only ids with at least ``least_rows`` reviews are listed, and at most ``most + 1``
-    categories of an id.
-    """
-    same_id = Window.partitionBy("id")
-    per_category = reviews.where(F.col("id").isNotNull()).groupBy("id", "category").agg(
-        F.count_if(chosen).alias("n"), F.count("*").alias("n_rows")
-    )
-    counted = per_category.withColumn("id_rows", F.sum("n_rows").over(same_id))
-    used = counted.where((F.col("id_rows") >= least_rows) & (F.col("n") > 0))
-    placed = used.withColumn("place", F.row_number().over(same_id.orderBy("category")))
-    listed = F.sort_array(F.collect_list(_weighted(F.col("category"), F.col("n"))))
-    return placed.where(F.col("place") <= most + 1).groupBy("id").agg(listed.alias("listed"))
-
-
-def _counted(found: DataFrame, stop_words: DataFrame | None) -> DataFrame:
-    """``categories, word`` to ``category, word, freq``.
-
-    Words are counted per array of categories, of which there are few, before the arrays are
-    taken apart. Stop words are looked up once per counted word, not once per token.
-    """
-    counts = found.groupBy("categories", "word").agg(F.count("*").alias("n_word"))
-    if stop_words is not None:
-        counts = without_stop_words(counts, stop_words)
-    single = counts.select("word", "n_word", F.inline("categories"))
-    freq = F.sum(F.col("n_word") * F.col("weight"))
-    return single.groupBy("category", "word").agg(freq.alias("freq"))
-
-
-def _multiplied(tokens: DataFrame, reviews: DataFrame, stop_words: DataFrame | None) -> DataFrame:
-    """The counts for ids with many categories: words per id times reviews per id."""
-    word_counts = tokens.groupBy("id", "word").agg(F.count("*").alias("n_word"))
-    if stop_words is not None:
-        word_counts = without_stop_words(word_counts, stop_words)
-    review_counts = reviews.groupBy("id", "category").agg(F.count("category").alias("n_review"))
-    freq = F.sum(F.col("n_word") * F.col("n_review"))
-    return word_counts.join(review_counts, "id").groupBy("category", "word").agg(freq.alias("freq"))
-
-
-def _added(first: DataFrame, second: DataFrame) -> DataFrame:
-    return first.unionByName(second).groupBy("category", "word").agg(F.sum("freq").alias("freq"))
-
-
 def category_word_counts(
     tokens: DataFrame,
     reviews: DataFrame,
     sentiment: str | None = None,
     stop_words: DataFrame | None = None,
-    most: int = MOST_CATEGORIES,
 ) -> DataFrame:
     """``category, word, freq`` over all pairs of a token and a review with the same id.
 
-    For tokens that come as a table of their own. A token meets the categories of its id as
-    one array, so the many-to-many join has one row per token. Ids with more than ``most``
-    categories are counted by id and word instead. With a sentiment only the reviews of that
-    sentiment give categories. Reviews without a category have the frequency 0.
+    The pairs are never made: tokens are counted per id and word and reviews per id and category,
+    and the counts are multiplied where they meet. Both sides are combined within tasks before
+    they are shuffled by id, and an id with many words is split by the join. With a sentiment
+    only the reviews of that sentiment give categories. Reviews without a category have the
+    frequency 0.
     """
-    chosen = _chosen(sentiment)
-    narrow = reviews.select("id", "category", chosen.alias("chosen"))
-    listed = materialize(categories_by_id(narrow, F.col("chosen"), most, 1))
-    tagged = lookup_join(tokens.select("id", "word"), listed, "id")
-    few = tagged.where(F.size("listed") <= most)
-    result = _counted(few.select(F.col("listed").alias("categories"), "word"), stop_words)
-
-    wide = listed.where(F.size("listed") > most).select("id")
-    if wide.isEmpty():
-        return result
-    of_wide = lookup_join(narrow.where("chosen"), wide, "id")
-    return _added(result, _multiplied(lookup_join(tokens, wide, "id"), of_wide, stop_words))
+    word_counts = tokens.where(F.col("id").isNotNull()).groupBy("id", "word").agg(F.count("*").alias("n_word"))
+    if stop_words is not None:
+        word_counts = without_stop_words(word_counts, stop_words)
+    chosen = reviews.where(F.col("id").isNotNull() & _chosen(sentiment))
+    review_counts = chosen.groupBy("id", "category").agg(F.count("category").alias("n_review"))
+    freq = F.sum(F.col("n_word") * F.col("n_review"))
+    return word_counts.join(review_counts, "id").groupBy("category", "word").agg(freq.alias("freq"))
 
 
 def review_word_counts(
-    reviews: DataFrame,
-    sentiment: str | None = None,
-    stop_words: DataFrame | None = None,
-    most: int = MOST_CATEGORIES,
+    reviews: DataFrame, sentiment: str | None = None, stop_words: DataFrame | None = None
 ) -> DataFrame:
-    """The same counts for the words of the reviews themselves.
-
-    The texts stay whole until their words are counted. A review whose id does not repeat
-    brings its own category; only the other ids need the join, so the texts are shuffled at
-    most once, and not at all when few ids repeat.
-    """
-    chosen = _chosen(sentiment)
-    rows = reviews.where(F.col("id").isNotNull()).select(
-        "id", "review", "category", chosen.alias("chosen")
-    )
-    listed = materialize(categories_by_id(rows, F.col("chosen"), most, 2))
-    tagged = lookup_join(rows, listed, "id", "left")
-    own = F.when(F.col("chosen"), F.array(_weighted(F.col("category"), F.lit(1))))
-    tagged = tagged.withColumn("categories", F.coalesce("listed", own))
-    few = tagged.where(F.size("categories").between(1, most))
-    found = few.select("categories", F.explode(words(clean(F.col("review")))).alias("word"))
-    result = _counted(found.where(F.col("word") != ""), stop_words)
-
-    wide = listed.where(F.size("listed") > most).select("id")
-    if wide.isEmpty():
-        return result
-    of_wide = lookup_join(rows, wide, "id")
-    return _added(result, _multiplied(tokens(of_wide), of_wide.where("chosen"), stop_words))
+    """The same counts for the words of the reviews themselves."""
+    return category_word_counts(tokens(reviews), reviews, sentiment, stop_words)
 
 
 def _nested(counts: DataFrame, n: int) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot key is split even where the next step then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 # For sessions that run detect_frames: the rows it moves to Python hold images of up to 10 MB.
 IMAGE_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
@@ -21,9 +22,16 @@ IMAGE_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings above; extra settings use ``__`` for the dots."""
+def build_session(
+    app: str, master: str | None = None, shared: str | None = None, **settings: str
+) -> SparkSession:
+    """A session with the settings above; extra settings use ``__`` for the dots.
+
+    ``shared`` is the folder for intermediate tables where the deployment names none.
+    """
     builder = SparkSession.builder.appName(app)
+    if shared:
+        builder = builder.config(CHECKPOINT_DIR, shared)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **IMAGE_SETTINGS}.items():
@@ -41,17 +49,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach, as the setting ``spark.checkpoint.dir`` names it.
 
-    On a local master an unset folder is replaced by a fresh temporary one. On a cluster the
-    setting is required, since a machine-local folder is lost with its machine.
+    The setting has to be there when the session starts (``build_session(..., shared=...)``); a
+    folder on one machine would be lost with the machine, so nothing takes its place.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, named)
+        raise ValueError(f"start the session with {CHECKPOINT_DIR}, a folder that all executors share")
     return named
 
 

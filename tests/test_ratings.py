@@ -125,3 +125,21 @@ def test_counts_by_gender_add_up(data):
     ratings, items, users, _ = data
     known = ratings.join(users, "user_id").join(items, "item_id").count()
     assert plans.mean_by_item_gender(ratings, users, items).agg(F.sum("n_ratings")).first()[0] == known
+
+
+def test_scores_that_are_not_finite_do_not_end_a_job(spark):
+    scores = ["inf", "-inf", "1e400", "nan", "2.345", None]
+    ratings = spark.createDataFrame([(i, i, x) for i, x in enumerate(scores)], "user_id int, item_id int, text string")
+    ratings = ratings.select("user_id", "item_id", F.expr("CAST(text AS DOUBLE)").alias("score"))
+    items = spark.createDataFrame([], "item_id int, title string, genres array<string>")
+    found = {r.title: r.avg_rating for r in plans.mean_by_item(ratings, items, 0).collect()}
+    assert found["Unknown(0)"] == float("inf") and found["Unknown(1)"] == float("-inf")
+    assert found["Unknown(2)"] == float("inf") and found["Unknown(3)"] != found["Unknown(3)"]
+    assert found["Unknown(4)"] == 2.35 and found["Unknown(5)"] is None
+
+
+def test_a_user_without_an_age_has_no_band(spark):
+    ratings = spark.createDataFrame([(1, 7, 4.0), (2, 7, 2.0), (2, 8, 2.0)], "user_id int, item_id int, score double")
+    users = spark.createDataFrame([(1, "f", 30, "1"), (2, "m", None, "1")], "user_id int, gender string, age int, occupation_id string")
+    maps = {r.item_id: r.bands for r in plans.band_map(plans.mean_by_item_band(ratings, users)).collect()}
+    assert len(maps[7]) == 1 and maps[8] == {}

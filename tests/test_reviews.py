@@ -82,10 +82,16 @@ def test_counts_equal_the_plain_join(spark, seed, sentiment):
     tokens = plans.tokens(data)
     plain = tokens.join(chosen.select("id", "category"), "id").groupBy("category", "word").agg(F.count("category").alias("freq"))
     expected = sorted(rows(plain), key=str)
-    for most in (1, 2, 64):
-        for found in (plans.review_word_counts(data, sentiment, most=most),
-                      plans.category_word_counts(tokens, data, sentiment, most=most)):
-            assert sorted(rows(found), key=str) == expected
+    for found in (plans.review_word_counts(data, sentiment), plans.category_word_counts(tokens, data, sentiment)):
+        assert sorted(rows(found), key=str) == expected
+
+
+def test_an_id_with_many_categories_and_words(spark):
+    """300 categories times 500 words of one id, counted without making the pairs."""
+    words = " ".join("w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(500))
+    data = reviews_of(spark, [(1, words if i == 0 else "", f"c{i}", "x", "positive") for i in range(300)])
+    counted = plans.review_word_counts(data)
+    assert counted.count() == 150_000 and rows(counted.agg(F.max("freq"), F.min("freq"))) == [(1, 1)]
 
 
 def test_top_words_are_ordered_and_nested(spark):
@@ -109,7 +115,6 @@ def test_long_stop_list_gives_the_same_words(spark):
     short = spark.sql("SELECT word FROM VALUES ('wa'), ('wb') AS t(word)")
     long = spark.createDataFrame([("wa",), ("wb",)], "word string")  # of unknown size
     for count in (lambda s: plans.review_word_counts(data, None, s),
-                  lambda s: plans.review_word_counts(data, None, s, most=1),
                   lambda s: plans.category_word_counts(plans.tokens(data), data, None, s)):
         found = [sorted(rows(count(s)), key=str) for s in (short, long)]
         assert found[0] == found[1] and not {"wa", "wb"} & {r[1] for r in found[0]}

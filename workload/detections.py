@@ -15,7 +15,6 @@ from tallywood.functions.documents import (
     person_boxes,
     result_document,
 )
-from tallywood.operators.partitions import spread_small
 from tallywood.plans import detections as plans
 from tallywood.session import fresh_dir
 from tallywood.sinks import tables
@@ -167,7 +166,7 @@ def published_inferred(spark, d):
 
 def _frame_folder(spark, d):
     path = fresh_dir(spark, "frames")
-    tables.publish_folder(spread_small(views.frames(spark, d), "frame_id"), path)
+    tables.publish_folder(views.frames(spark, d), path)
     return path
 
 
@@ -208,7 +207,7 @@ def stream_detect(spark, d):
 
 
 def batch_detect(spark, d):
-    frames = spread_small(views.frames(spark, d), "frame_id")
+    frames = views.frames(spark, d)
     return detect_frames(frames, stand_in_model()).select("camera_id", "frame_id", "person_count")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tallywood.operators.partitions import spread_small
 from tallywood.plans import reviews as plans
 from tallywood.session import materialize
 from tallywood.sinks.text import delimited_lines
@@ -33,7 +32,7 @@ def _flat(df):
 
 
 def text_tokens(spark, d):
-    return plans.tokens(_spread(views.reviews(spark, d)))
+    return plans.tokens(views.reviews(spark, d))
 
 
 def kept_tokens(spark, d):
@@ -60,12 +59,8 @@ def top_negative(spark, d):
     return plans.top_aspect(views.labelled_reviews(spark, d), plans.NEGATIVE)
 
 
-def _spread(reviews):
-    return spread_small(reviews, "id")
-
-
 def _top(spark, d, reviews, sentiment=None):
-    return plans.top_words(_spread(reviews(spark, d)), sentiment, views.stop_words(spark))
+    return plans.top_words(reviews(spark, d), sentiment, views.stop_words(spark))
 
 
 def top_words(spark, d):
@@ -93,7 +88,7 @@ def top_words_text(spark, d):
 
 def fanout_counts_by_review(spark, d):
     """Turns share ids, so each word meets every turn of its conversation."""
-    return plans.review_word_counts(_spread(views.turns(spark, d)))
+    return plans.review_word_counts(views.turns(spark, d))
 
 
 def fanout_counts(spark, d):

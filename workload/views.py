@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tallywood.functions.documents import encode_base64
 from tallywood.functions.parsing import split_list
-from tallywood.operators.joins import fits_broadcast, lookup_join
-from tallywood.session import apply_settings, materialize
+from tallywood.operators.joins import lookup_join
+from tallywood.session import apply_settings
 
 TEN_YEARS = 315_532_800
 STOP_WORDS = ["the", "and", "of", "in", "is", "that", "with", "for", "by", "on",
@@ -37,12 +37,11 @@ def item_ratings(spark, sf_dir) -> DataFrame:
 
 
 def ratings(spark, sf_dir) -> DataFrame:
-    """Ratings are a table of their own: a join too large to repeat is written once."""
+    """``user_id, item_id, score, ts, l_linestatus``: each order line with its customer."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id")
     )
-    joined = lookup_join(item_ratings(spark, sf_dir), orders, "l_orderkey").drop("l_orderkey")
-    return joined if fits_broadcast(orders) else materialize(joined)
+    return lookup_join(item_ratings(spark, sf_dir), orders, "l_orderkey").drop("l_orderkey")
 
 
 def items(spark, sf_dir) -> DataFrame:
