@@ -24,9 +24,14 @@ def epoch_year(epoch: Column) -> Column:
     return F.year(F.date_from_unix_date(day))
 
 
-def minute_label(epoch_seconds: Column) -> Column:
-    """Epoch seconds, possibly fractional, to a ``yyyy-MM-dd HH:mm`` label."""
-    return F.date_format(F.from_unixtime(epoch_seconds), MINUTE_FORMAT)
+def minute_of(epoch_seconds: Column) -> Column:
+    """Whole minutes since the epoch, to group by."""
+    return F.floor(epoch_seconds / 60).cast("bigint")
+
+
+def minute_label(minutes: Column) -> Column:
+    """Whole minutes since the epoch to a ``yyyy-MM-dd HH:mm`` label."""
+    return F.date_format(F.timestamp_seconds(minutes * 60), MINUTE_FORMAT)
 
 
 def in_year(moment: Column, year: int) -> Column:

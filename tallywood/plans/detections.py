@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.functions.dates import minute_label
+from tallywood.functions.dates import minute_label, minute_of
 from tallywood.functions.numbers import exact, mean_of
 from tallywood.operators.ranking import newest
 from tallywood.sinks.tables import without_image
@@ -37,13 +37,14 @@ def overall(results: DataFrame) -> DataFrame:
 
 def per_minute(results: DataFrame) -> DataFrame:
     """``camera_id, datetime, n_frames, avg_people, max_people`` by minute of processing."""
-    labelled = results.withColumn("datetime", minute_label(F.col("processed_timestamp")))
-    counts = labelled.groupBy("camera_id", "datetime").agg(
+    timed = results.withColumn("minute", minute_of(F.col("processed_timestamp")))
+    counts = timed.groupBy("camera_id", "minute").agg(
         F.count("frame_id").alias("n_frames"),
         _mean_people().alias("avg_people"),
         F.max("person_count").alias("max_people"),
     )
-    return counts.orderBy("datetime", "camera_id")
+    label = minute_label(F.col("minute")).alias("datetime")
+    return counts.select("camera_id", label, "n_frames", "avg_people", "max_people").orderBy("datetime", "camera_id")
 
 
 def of_camera(results: DataFrame, camera: str) -> DataFrame:

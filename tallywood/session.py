@@ -16,7 +16,7 @@ SETTINGS = {
     # A hot key is split even where the next step then needs a shuffle of its own.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-# For sessions that run detect_frames: the rows it moves to Python hold images of up to 10 MB.
+# Rows that move to Python may hold images of up to 10 MB (detect_frames).
 IMAGE_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tallywood.operators.ranking import newest
 
 IMAGE = "annotated_image"
 STORED_AT = "stored_at"
+# Folders of a stored table.
+DAY, PART = "stored_day", "stored_part"
 
 
 def stamped(results: DataFrame) -> DataFrame:
@@ -16,8 +20,21 @@ def stamped(results: DataFrame) -> DataFrame:
     return results.withColumn(STORED_AT, F.unix_micros(F.current_timestamp()) / 1_000_000)
 
 
+def store_results(results: DataFrame, path: str, part: str) -> None:
+    """Add results to a stored table, in a folder for the day of storage and the named part.
+
+    A part that is written again on its day replaces itself, so a repeated batch is stored once.
+    Batches and streams write alike, and ``read_results`` finds the rows of both.
+    """
+    rows = stamped(results)
+    day = F.to_date(F.timestamp_seconds(STORED_AT))
+    writer = rows.withColumns({DAY: day, PART: F.lit(part)}).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(DAY, PART).parquet(path)
+
+
 def append_results(results: DataFrame, path: str) -> None:
-    stamped(results).write.mode("append").parquet(path)
+    """Add a batch of results, as a part of its own."""
+    store_results(results, path, uuid.uuid4().hex)
 
 
 def replace_table(df: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywood.functions.documents import FRAME_SCHEMA, RESULT_SCHEMA, decode_json
+from tallywood.sinks.tables import DAY, PART
 
 # Topic names and the start position of a first read.
 FRAMES_TOPIC = "camera_frames"
@@ -22,19 +23,37 @@ ANALYSIS_FIELDS = (
 )
 
 
-def topic_options(servers: str, topic: str, starting_offsets: str = STARTING_OFFSETS) -> dict:
-    """Options of a Kafka source; the connector comes with the cluster."""
-    return {
+def topic_options(
+    servers: str,
+    topic: str,
+    starting_offsets: str = STARTING_OFFSETS,
+    tasks: int | None = None,
+    per_trigger: int | None = None,
+) -> dict:
+    """Options of a Kafka source; the connector comes with the cluster.
+
+    ``tasks`` splits topic partitions over at least so many tasks, ``per_trigger`` bounds the
+    messages of a batch.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "false",
     }
+    if tasks:
+        options["minPartitions"] = str(tasks)
+    if per_trigger:
+        options["maxOffsetsPerTrigger"] = str(per_trigger)
+    return options
 
 
-def topic_stream(spark: SparkSession, servers: str, topic: str, schema: str) -> DataFrame:
-    """Documents of a topic. Parallelism is the number of topic partitions."""
-    source = spark.readStream.format("kafka").options(**topic_options(servers, topic)).load()
+def topic_stream(
+    spark: SparkSession, servers: str, topic: str, schema: str, **options: str | int
+) -> DataFrame:
+    """Documents of a topic; further options are those of ``topic_options``."""
+    chosen = topic_options(servers, topic, **options)
+    source = spark.readStream.format("kafka").options(**chosen).load()
     return documents(source.select(F.col("value").cast("string")), schema)
 
 
@@ -67,7 +86,7 @@ def result_stream(
 def read_results(spark: SparkSession, path: str, fields: tuple[str, ...] = ()) -> DataFrame:
     """The stored results, or some of their fields; the scan reads no others."""
     stored = spark.read.parquet(path)
-    return stored.select(*fields) if fields else stored
+    return stored.select(*fields) if fields else stored.drop(DAY, PART)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallywood.functions.dates import MINUTE_FORMAT
-from tallywood.sinks.tables import messages, replace_table, stamped
+from tallywood.sinks.tables import messages, replace_table, store_results
 
 MINUTE = "1 minute"
 
@@ -28,9 +30,16 @@ def started(
 def store(
     results: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Append results with their time of storage; each result is stored once."""
-    writer = stamped(results).writeStream.format("parquet").outputMode("append")
-    return started(writer.option("path", path), checkpoint, interval)
+    """Add results with their time of storage to a stored table.
+
+    Each batch is a part that is named after the checkpoint and its number, so a batch that runs
+    again after a failure replaces itself.
+    """
+    name = hashlib.md5(checkpoint.encode()).hexdigest()
+    writer = results.writeStream.outputMode("append").foreachBatch(
+        lambda batch, number: store_results(batch, path, f"{name}-{number}")
+    )
+    return started(writer, checkpoint, interval)
 
 
 def publish(

@@ -100,3 +100,5 @@ def test_documents_that_do_not_parse_are_dropped(spark):
 
 def test_topic_reads_start_at_the_newest_message():
     assert topic_options("h:1", "t")["startingOffsets"] == "latest"
+    options = topic_options("h:1", "t", "earliest", tasks=40, per_trigger=1000)
+    assert (options["minPartitions"], options["maxOffsetsPerTrigger"], options["startingOffsets"]) == ("40", "1000", "earliest")

@@ -52,13 +52,17 @@ PEOPLE_SQL = """(SELECT camera_id, frame_id, CAST(len(list_filter(range(0, k % 5
 def stand_in_model():
     """Boxes made from the number in the payload; a local function travels to the workers whole."""
 
-    def model(image: bytes) -> list[dict]:
-        k = json.loads(image)["k"]
-        return [
-            {"class_id": j % 2, "confidence": (k * 7 + j * 13) % 100 / 100,
-             "x1": 1.5 * j, "y1": 2.5 * j, "x2": 3.5 * j, "y2": 4.5 * j}
-            for j in range(k % 5)
-        ]
+    def model(images: list[bytes]) -> list[dict]:
+        found = []
+        for image in images:
+            k = json.loads(image)["k"]
+            boxes = [
+                {"class_id": j % 2, "confidence": (k * 7 + j * 13) % 100 / 100,
+                 "x1": 1.5 * j, "y1": 2.5 * j, "x2": 3.5 * j, "y2": 4.5 * j}
+                for j in range(k % 5)
+            ]
+            found.append({"detections": boxes, "image": image})
+        return found
 
     return model
 
