@@ -38,24 +38,38 @@ class Shingles:
         self.width, self.words = width, {}
 
     def of(self, text: str | None) -> np.ndarray:
-        words = text.encode().lower().split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(self.words) > self.REMEMBERED:
-            self.words.clear()
-        known = self.words
-        hashes = list(map(known.get, words))
-        if None in hashes:
-            for word in words:
-                if word not in known:
-                    known[word] = xxhash.xxh3_64_intdigest(word)
-            hashes = list(map(known.__getitem__, words))
+        return self.of_all([text])[0]
+
+    def of_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The sets of some texts; the n-grams of all of them are hashed together."""
+        known, hashes, sizes = self.words, [], []
+        if len(known) > self.REMEMBERED:
+            known.clear()
+        for text in texts:
+            words = text.encode().lower().split() if text else []
+            found = list(map(known.get, words))
+            if None in found:
+                for word in words:
+                    if word not in known:
+                        known[word] = xxhash.xxh3_64_intdigest(word)
+                found = list(map(known.__getitem__, words))
+            hashes += found
+            sizes.append(len(found))
         values = np.array(hashes, np.uint64)
-        width = min(self.width, len(words))
-        grams = np.zeros(len(words) - width + 1, np.uint64)
+        grams = {width: self._grams(values, width) for width in {min(n, self.width) for n in sizes} if width}
+        sets, start = [], 0
+        for n in sizes:
+            width = min(n, self.width)
+            sets.append(np.unique(grams[width][start:start + n - width + 1]) if n else np.zeros(0, np.uint64))
+            start += n
+        return sets
+
+    @staticmethod
+    def _grams(values: np.ndarray, width: int) -> np.ndarray:
+        grams = np.zeros(len(values) - width + 1, np.uint64)
         for place in range(width):
             grams = mixed(grams * np.uint64(_MIX[0]) + values[place:place + len(grams)], place)
-        return np.unique(grams)
+        return grams
 
 
 @dataclass(frozen=True)
@@ -110,27 +124,42 @@ class PartEnum:
 
     def signatures(self, hashes: np.ndarray) -> np.ndarray:
         """All signatures of a set; none of an empty one."""
-        if not len(hashes):
-            return np.zeros(0, np.uint64)
-        own = self.number(len(hashes))
-        return np.concatenate([self._of(hashes, n) for n in ([own, own - 1] if own else [own])])
-
-    def _of(self, hashes: np.ndarray, number: int) -> np.ndarray:
+        return self.signatures_of([hashes])[1]
+
+    def signatures_of(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The place of a set and one of its signatures, for all of some sets."""
+        bands: dict[int, list[int]] = {}
+        for place, hashes in enumerate(sets):
+            if len(hashes):
+                own = self.number(len(hashes))
+                for number in [own, own - 1] if own else [own]:
+                    bands.setdefault(number, []).append(place)
+        owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for number, places in bands.items():
+            values = self._of([sets[p] for p in places], number)
+            owners.append(np.repeat(np.array(places), values.shape[1]))
+            found.append(values.ravel())
+        return np.concatenate(owners), np.concatenate(found)
+
+    def _of(self, sets: list[np.ndarray], number: int) -> np.ndarray:
+        """Signatures of sets in one band, a row for each set."""
         band = self.band(number)
         cells = band.parts * band.pieces
-        cell = (hashes >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)  # ascending, as the hashes are
-        ends = np.searchsorted(cell, np.arange(cells + 1))
+        hashes = np.concatenate(sets)
+        cell = ((hashes >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+        cell += np.repeat(np.arange(len(sets)) * cells, [len(s) for s in sets])
+        ends = np.searchsorted(cell, np.arange(len(sets) * cells + 1))  # ascending, as the hashes are
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(hashes, 1), dtype=np.uint64)])
-        held = (sums[ends[1:]] - sums[ends[:-1]]).reshape(band.parts, band.pieces)
+        held = (sums[ends[1:]] - sums[ends[:-1]]).reshape(len(sets), band.parts, band.pieces)
         chosen = list(combinations(range(band.pieces), band.pieces - band.differ)) if band.differ else [(0,)]
         place = np.arange(band.parts, dtype=np.uint64) + np.uint64(number << 32)
         found = []
         for subset, pieces in enumerate(chosen):
-            value = place * np.uint64(64) + np.uint64(subset)
+            value = np.broadcast_to(place * np.uint64(64) + np.uint64(subset), held.shape[:2])
             for piece in pieces:
-                value = mixed(value, 2) ^ held[:, piece]
+                value = mixed(value, 2) ^ held[:, :, piece]
             found.append(mixed(value, 3))
-        return np.concatenate(found)
+        return np.concatenate(found, axis=1)
 
 
 def parity(hashes: np.ndarray, distance: int) -> bytes:
@@ -170,13 +199,26 @@ BLOCK = 1024
 BROADCAST_IDS = 500_000
 
 
+def slices(texts, size: int = 2_000_000):
+    """The texts of an Arrow array in lists of about ``size`` characters."""
+    part, held = [], 0
+    for value in texts.to_pylist():
+        part.append(value)
+        held += len(value or "")
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def sets(docs: DataFrame, width: int, percent: int, id_column: str, text: str) -> DataFrame:
     """``id, n_shingles, set_id, parity`` of every text; ``set_id`` is a 128-bit hash of the set."""
 
     def work(batches):
         shingles, enumerated = Shingles(width), PartEnum(percent)
         for ids, texts in batches:
-            found = [shingles.of(t) for t in texts.to_pylist()]
+            found = [h for part in slices(texts) for h in shingles.of_all(part)]
             rows = [parity(h, enumerated.band(enumerated.number(len(h))).distance) if len(h) else b"" for h in found]
             yield ids, list(map(len, found)), [xxhash.xxh3_128_digest(h.tobytes()) for h in found], rows
 
@@ -194,15 +236,18 @@ def shared_signatures(docs: DataFrame, width: int, percent: int, id_column: str,
     def emit(batches):
         shingles, enumerated, seen = Shingles(width), PartEnum(percent), set()
         for ids, texts in batches:
-            for doc_id, value in zip(ids.to_pylist(), texts.to_pylist(), strict=True):
-                hashes = shingles.of(value)
-                key = xxhash.xxh3_128_digest(hashes.tobytes())
-                if key in seen or doc_id is None:
-                    continue
-                seen.add(key)
-                found = enumerated.signatures(hashes)
+            at = 0
+            for part in slices(texts):
+                fresh = []
+                for doc_id, hashes in zip(ids[at:at + len(part)].to_pylist(), shingles.of_all(part), strict=True):
+                    key = xxhash.xxh3_128_digest(hashes.tobytes())
+                    if key not in seen and doc_id is not None:
+                        seen.add(key)
+                        fresh.append((doc_id, hashes))
+                owner, found = enumerated.signatures_of([h for _, h in fresh])
                 if len(found):
-                    yield found.view(np.int64), np.full(len(found), doc_id, np.int64)
+                    yield found.view(np.int64), np.array([i for i, _ in fresh], np.int64)[owner]
+                at += len(part)
 
     def repeated(batches):
         last = None  # the latest row, kept back until the next one is known
@@ -236,7 +281,7 @@ def verified(
     def shingle(batches):
         shingles = Shingles(width)
         for ids, texts in batches:
-            yield ids, [shingles.of(t).tobytes() for t in texts.to_pylist()]
+            yield ids, [h.tobytes() for part in slices(texts) for h in shingles.of_all(part)]
 
     def check(batches):
         for a, b, left, right in batches:
