@@ -19,11 +19,11 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tallywood.llm.common import map_rows
+from tallywood.llm.common import map_rows, slices
 from tallywood.llm.word_memory import WordMemory
 
 # Words whose tokens a Python worker remembers.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -367,7 +367,7 @@ def encode_table(
     def work(batches):
         encoder = _encoder(path, shared, pattern)
         for ids, texts in batches:
-            yield ids, list(encoder.encode(texts.to_pylist()))
+            yield ids, [tokens for part in slices(texts) for tokens in encoder.encode(part)]
 
     return map_rows(docs, [id_column, text], work, f"{id_column} long, ids array<bigint>")
 
@@ -388,8 +388,8 @@ def digest_table(
         bpe, decimal = encoder.bpe, {rank: b"%d" % rank for rank in encoder.bpe.token}
         for ids, texts in batches:
             counts, hashes, decoded, same = [], [], [], []
-            strings = texts.to_pylist()
-            for string, tokens in zip(strings, encoder.encode(strings), strict=True):
+            pairs = (pair for part in slices(texts) for pair in zip(part, encoder.encode(part), strict=True))
+            for string, tokens in pairs:
                 back = bpe.decode(tokens)
                 counts.append(len(tokens))
                 hashes.append(hashlib.sha256(b",".join(map(decimal.__getitem__, tokens))).hexdigest())

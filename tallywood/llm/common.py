@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tallywood.session import materialize
 
-__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "with_range", "without"]
+__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "slices", "with_range", "without"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,20 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
+def slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[list[str | None]]:
+    """The texts of an Arrow array in lists of about ``size`` characters."""
+    part, held = [], 0
+    for start in range(0, len(texts), 128):
+        for value in texts.slice(start, 128).to_pylist():
+            part.append(value)
+            held += len(value or "")
+            if held >= size:
+                yield part
+                part, held = [], 0
+    if part:
+        yield part
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle, as the deployment has set them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.llm.common import map_rows
+from tallywood.llm.common import map_rows, slices
 
 UNDETERMINED = "und"
 # Documents of each language that the model is fitted on, chosen by the hash of their id.
@@ -166,8 +166,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
 class Labeller:
     """Labels batches of texts and remembers the scores of the words it has seen."""
 
-    WORDS = 400_000
-    SLICE = 3_000_000
+    WORDS = 150_000
 
     def __init__(self, model: LanguageModel, switch: float):
         self.model, self.switch = model, switch
@@ -175,18 +174,8 @@ class Labeller:
         self.scores = np.zeros((0, len(model.languages)))
 
     def label(self, texts: list[str | None]):
-        """Of each text the language, its score and its spans, in slices of bounded size."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < self.SLICE):
-                size += len(texts[end] or "")
-                end += 1
-            yield from self._label(texts[at:end])
-            at = end
-
-    def _label(self, texts: list[str | None]):
-        found = [[m.lower() for m in WORD.findall(text)] if text else [] for text in texts]
+        """Of each text the language, its score and its spans."""
+        found = [WORD.findall(text.lower()) if text else [] for text in texts]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         if not self.model.languages or not sizes.sum():
             yield from ((UNDETERMINED, 0.0, None) for _ in texts)
@@ -248,7 +237,7 @@ def predict(
     def work(batches):
         labeller = Labeller(shared.value, switch)
         for *kept, texts in batches:
-            rows = list(labeller.label(texts.to_pylist()))
+            rows = [row for part in slices(texts) for row in labeller.label(part)]
             yield *kept, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
 
     new = zip(names, ("string", "double", "string"), strict=True)

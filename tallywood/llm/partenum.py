@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.llm.common import map_rows, materialize, partitions
+from tallywood.llm.common import map_rows, materialize, partitions, slices
 from tallywood.llm.components import components
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x94D049BB133111EB)
@@ -32,7 +32,7 @@ class Shingles:
     than an n-gram has the whole sequence as its only one, a text without words has none.
     """
 
-    REMEMBERED = 500_000
+    REMEMBERED = 150_000
 
     def __init__(self, width: int):
         self.width, self.words = width, {}
@@ -199,19 +199,6 @@ BLOCK = 1024
 BROADCAST_IDS = 500_000
 
 
-def slices(texts, size: int = 2_000_000):
-    """The texts of an Arrow array in lists of about ``size`` characters."""
-    part, held = [], 0
-    for value in texts.to_pylist():
-        part.append(value)
-        held += len(value or "")
-        if held >= size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
-
-
 def sets(docs: DataFrame, width: int, percent: int, id_column: str, text: str) -> DataFrame:
     """``id, n_shingles, set_id, parity`` of every text; ``set_id`` is a 128-bit hash of the set."""
 
@@ -325,46 +312,46 @@ def similarity_components(
 
     # Signatures are sent under the first id of a task with the set; here all take that of their set.
     named = full.select(F.col(id_column).alias("id"), "set_id").join(reps.select("set_id", "rep"), "set_id").select("id", "rep")
-    groups = shared_signatures(docs, width, percent, id_column, text)
-    groups = groups.join(named, "id").select("sig", "rep").distinct()
-    groups = materialize(groups)
-    several = groups.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
+    found = shared_signatures(docs, width, percent, id_column, text)
+    groups = materialize(found.join(named, "id").select("sig", "rep").distinct())
     degree = groups.groupBy("rep").agg(F.count("*").alias("degree"))
-    rows = groups.join(several, "sig").join(degree, "rep").join(reps.select("rep", "n", "parity"), "rep")
-    rows = materialize(rows)
-
-    pivot = rows.groupBy("sig").agg(F.max_by(F.struct("rep", "n", "parity"), F.struct("degree", "rep")).alias("pivot"))
-    star = rows.join(pivot, "sig").where(F.col("rep") != F.col("pivot.rep"))
-    star = star.select(
-        F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n").alias("m"), "n",
-        F.col("pivot.parity").alias("other"), "parity",
+    kinds = groups.join(degree, "rep").groupBy("sig").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"), F.max_by("rep", F.struct("degree", "rep")).alias("pivot"),
     )
+    # Copies share many signatures; of groups with the same members one is enough.
+    kept = kinds.where("members > 1").groupBy("members", "x", "y", "pivot").agg(F.min("sig").alias("sig"))
+    rows = materialize(groups.join(kept.select("sig", "members", "pivot"), "sig"))
+
+    near = rows.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    near = near.join(reps.select(F.col("rep").alias("a"), F.col("n").alias("m"), F.col("parity").alias("other")), "a")
+    near = near.join(reps.select(F.col("rep").alias("b"), "n", "parity"), "b")
 
     def close(batches):
         for a, b, m, n, other, own in batches:
             m, n = m.to_numpy(), n.to_numpy()
-            left, right = other.to_pylist(), own.to_pylist()
             distance = np.array([
                 int(np.bitwise_count(np.bitwise_xor(*folded([x, y], min(len(x), len(y))))).sum())
-                for x, y in zip(left, right, strict=True)
+                for x, y in zip(other.to_pylist(), own.to_pylist(), strict=True)
             ], np.int64)
             keep = ~apart(distance, m, n, percent)
             keep &= (100 * m >= percent * n) & (100 * n >= percent * m)
             yield a.to_numpy()[keep], b.to_numpy()[keep]
 
-    near = map_rows(star, ["a", "b", "m", "n", "other", "parity"], close, "a long, b long")
+    near = map_rows(near, ["a", "b", "m", "n", "other", "parity"], close, "a long, b long")
     links = materialize(verified(near, docs, width, percent, id_column, text))
-    first = materialize(components(links))
+    first = components(links)
 
     label = F.coalesce("component", "rep").alias("component")
-    marked = rows.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "members", "rep", "n", "parity", label)
+    marked = rows.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "members", "rep", label)
     marked = materialize(marked)
     open_groups = marked.groupBy("sig").agg((F.min("component") != F.max("component")).alias("open")).where("open")
     # A group of more than one block meets itself block by block.
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
-    dealt = marked.join(open_groups.select("sig"), "sig").select("sig", "rep", "n", "parity", "component", own.alias("block"), F.inline(others))
+    still = marked.join(open_groups.select("sig"), "sig").join(reps.select("rep", "n", "parity"), "rep")
+    dealt = still.select("sig", "rep", "n", "parity", "component", own.alias("block"), F.inline(others))
 
     def across(batches):
         """Pairs of the rows of one (sig, i, j); rows arrive sorted by these."""

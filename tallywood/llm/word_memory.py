@@ -29,10 +29,10 @@ class WordMemory:
     bounded size; a memory of more than ``remembered`` parts keeps those of its last slice.
     """
 
-    SLICE = 3_000_000
+    SLICE = 2_000_000
     LONGEST = 64
 
-    def __init__(self, encode: Callable[[list[str]], list], remembered: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], list], remembered: int = 400_000):
         self.encode, self.remembered = encode, remembered
         self.codes, self.known = _Codes({}, 0), []
 
