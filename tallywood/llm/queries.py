@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywood.llm import language_spans, toxicity, wavelet_shards
+from tallywood.llm import language_spans, oracles, toxicity, wavelet_shards
 from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
 from tallywood.llm.common import fold, read_table
@@ -78,14 +78,14 @@ def lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
-    "op1_spaced_seeds": (decontamination, None),
+    "op1_spaced_seeds": (decontamination, oracles.DECONTAMINATION),
     "op2_wavelet_shards": (wavelet, None),
     "op3_toxicity_trees": (toxic, None),
-    "op4_ngram_jaccard": (ngram_jaccard, None),
+    "op4_ngram_jaccard": (ngram_jaccard, oracles.NGRAM_JACCARD),
     "op5_byte_bpe_prefixes": (byte_bpe, None),
     "op6_byte_shards": (byte_shards, None),
     "op7_quartile_digest": (quartile_digest, None),
-    "op8_site_lines": (site_lines, None),
+    "op8_site_lines": (site_lines, oracles.SITE_LINES),
     "op9_language_spans": (language, None),
-    "op10_lm_difference": (lm_difference, None),
+    "op10_lm_difference": (lm_difference, oracles.LM_DIFFERENCE),
 }
