@@ -88,6 +88,31 @@ def band_lines(table: DataFrame) -> DataFrame:
     return report_lines(table, cells, " | ")
 
 
+def group_report(
+    means: DataFrame, group: str, widths: tuple[int, int, int], titles: tuple[str, str, str]
+) -> DataFrame:
+    """Heading and lines of the means of genres, occupations or years. Labels are free."""
+    length = sum(widths) + 2
+    head = heading(list(titles), [widths[0], -widths[1], -widths[2]], "=", length)
+    return report_text(head, group_lines(means, group, widths))
+
+
+def item_gender_report(
+    means: DataFrame, titles: tuple[str, ...] = ("Item", "Title", "Gender", "Average", "Ratings")
+) -> DataFrame:
+    """Heading and lines of the means of items and genders."""
+    head = heading(list(titles), [10, 60, 8, -10, -8], "=", 100)
+    return report_text(head, item_gender_lines(means))
+
+
+def band_report(table: DataFrame, title: str = "Ratings by age band") -> DataFrame:
+    """Heading, lines and the number of items below."""
+    rule = "=" * 80
+    total = F.concat(F.lit("Items: "), F.count("*").cast("string"))
+    foot = table.agg(total.alias("total")).select(F.explode(F.array(F.lit(rule), "total")).alias("line"))
+    return report_text([rule, title, rule], band_lines(table), foot)
+
+
 def item_key_values(means: DataFrame) -> DataFrame:
     """``key, value``: title and a sentence with mean and count."""
     value = F.format_string("Average rating: %.2f (Total ratings: %d)", F.col(MEAN), F.col(N))

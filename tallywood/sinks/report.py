@@ -37,20 +37,13 @@ def heading(titles: list[str], widths: list[int], rule: str, length: int) -> lis
 
 
 def report_text(head: list[str], lines: DataFrame, foot: DataFrame | None = None) -> DataFrame:
-    """Heading, lines and closing lines in order; ``lines`` and ``foot`` keep their own order."""
-    top = F.lit(head).cast("array<string>")
-    first = lines.sparkSession.range(1).select(F.posexplode(top).alias("place", "line"))
-    parts = [first, lines.withColumn("place", F.monotonically_increasing_id())]
-    if foot is not None:
-        parts.append(foot.withColumn("place", F.monotonically_increasing_id()))
-    columns = [
-        part.select(F.lit(i).alias("part"), F.col("place").cast("bigint").alias("place"), "line")
-        for i, part in enumerate(parts)
-    ]
-    whole = columns[0]
-    for part in columns[1:]:
-        whole = whole.unionByName(part)
-    return whole.orderBy("part", "place").select("line")
+    """Heading, lines and closing lines in order; ``lines`` and ``foot`` keep their own order.
+
+    A union lists the partitions of its parts one after another, so nothing is sorted again.
+    """
+    top = lines.sparkSession.range(1).select(F.explode(F.lit(head).cast("array<string>")).alias("line"))
+    whole = top.unionByName(lines)
+    return whole if foot is None else whole.unionByName(foot)
 
 
 def write_report(lines: DataFrame, path: str) -> None:

@@ -177,6 +177,27 @@ def band_report(spark, d):
     return reports.band_lines(seven_bands(spark, d))
 
 
+def genre_report_text(spark, d):
+    return reports.group_report(by_genre(spark, d), "genre", (25, 12, 10), ("Genre", "Average", "Ratings"))
+
+
+def occupation_report_text(spark, d):
+    means = by_occupation(spark, d)
+    return reports.group_report(means, "occupation", (35, 12, 10), ("Occupation", "Average", "Ratings"))
+
+
+def year_report_text(spark, d):
+    return reports.group_report(by_year(spark, d), "year", (10, 12, 10), ("Year", "Average", "Ratings"))
+
+
+def gender_report_text(spark, d):
+    return reports.item_gender_report(by_item_gender(spark, d))
+
+
+def band_report_text(spark, d):
+    return reports.band_report(seven_bands(spark, d))
+
+
 def every_item(spark, d):
     """Orders rate their customer, as in ``unknown_items``, with one fixed label instead."""
     return plans.mean_of_every_item(*_customer_ratings(spark, d))
@@ -222,6 +243,26 @@ _four_cells = " || ' ' || ".join(
     f"""'{b}: ' || coalesce({half_up_text(f'"{b}"')}, 'NA')""" for b in FOUR
 )
 
+GENRE_LINES_SQL = (
+    f"SELECT rpad(genre, 25, ' ') || ' ' || {_two('avg_rating', 12)} || ' ' || {_padded('n_ratings', 10)} AS line FROM ({BY_GENRE_SQL})")
+GENDER_LINES_SQL = (
+    f"SELECT rpad(CAST(item_id AS VARCHAR), 10, ' ') || ' ' || rpad(title, 60, ' ') || ' ' || rpad(gender, 8, ' ') "
+    f"|| ' ' || {_two('avg_rating', 10)} || ' ' || {_padded('n_ratings', 8)} AS line FROM ({BY_GENDER_SQL})")
+BAND_LINES_SQL = (
+    f"SELECT 'ID: ' || CASE WHEN item_id < 10000 THEN rpad(CAST(item_id AS VARCHAR), 4, ' ') "
+    f"ELSE CAST(item_id AS VARCHAR) END || ' | ' || rpad(substr(title, 1, 35), 35, ' ') || ' | ' || {_band_cells} AS line "
+    f"FROM ({SEVEN_SQL})")
+
+
+def _group_text_sql(sql: str, group: str, width: int, title: str) -> str:
+    """Heading and lines of one group; names longer than their column keep their length."""
+    padded = f"CASE WHEN length(g) < {width} THEN rpad(g, {width}, ' ') ELSE g END"
+    lines = (f"SELECT {padded} || ' ' || {_two('avg_rating', 12)} || ' ' || {_padded('n_ratings', 10)} AS line "
+             f"FROM (SELECT CAST({group} AS VARCHAR) AS g, avg_rating, n_ratings FROM ({sql}))")
+    rule = f"repeat('=', {width + 24})"
+    return f"{lines} UNION ALL SELECT unnest([{rule}, rpad('{title}', {width}, ' ') || '      Average    Ratings', {rule}])"
+
+
 QUERIES = {
     "rating_mean_by_item": (by_item, BY_ITEM_SQL),
     "rating_mean_unknown_items": (unknown_items, UNKNOWN_SQL),
@@ -254,19 +295,20 @@ SELECT rpad(title, 65, ' ') || ' ' || {_two('avg_rating', 10)} || ' ' || {_padde
 UNION ALL SELECT unnest([repeat('=', 85), rpad('Title', 65, ' ') || ' Avg Rating  Ratings', repeat('=', 85)])
 UNION ALL SELECT unnest(['', repeat('=', 85), 'Best item with at least 5 ratings:', 'Title: ' || title,
   'Average: ' || printf('%.2f', avg_rating), 'Ratings: ' || CAST(n_ratings AS VARCHAR), repeat('=', 85)]) FROM b"""),
-    "report_lines_genres": (
-        genre_report,
-        f"SELECT rpad(genre, 25, ' ') || ' ' || {_two('avg_rating', 12)} || ' ' || {_padded('n_ratings', 10)} AS line "
-        f"FROM ({BY_GENRE_SQL})"),
-    "report_lines_item_segment": (
-        gender_report,
-        f"SELECT rpad(CAST(item_id AS VARCHAR), 10, ' ') || ' ' || rpad(title, 60, ' ') || ' ' || rpad(gender, 8, ' ') "
-        f"|| ' ' || {_two('avg_rating', 10)} || ' ' || {_padded('n_ratings', 8)} AS line FROM ({BY_GENDER_SQL})"),
-    "report_lines_bands": (
-        band_report,
-        f"SELECT 'ID: ' || CASE WHEN item_id < 10000 THEN rpad(CAST(item_id AS VARCHAR), 4, ' ') "
-        f"ELSE CAST(item_id AS VARCHAR) END || ' | ' || rpad(substr(title, 1, 35), 35, ' ') || ' | ' || {_band_cells} AS line "
-        f"FROM ({SEVEN_SQL})"),
+    "report_lines_genres": (genre_report, GENRE_LINES_SQL),
+    "report_lines_item_segment": (gender_report, GENDER_LINES_SQL),
+    "report_lines_bands": (band_report, BAND_LINES_SQL),
+    "report_text_genres": (genre_report_text, _group_text_sql(BY_GENRE_SQL, "genre", 25, "Genre")),
+    "report_text_occupations": (occupation_report_text, _group_text_sql(BY_OCCUPATION_SQL, "occupation", 35, "Occupation")),
+    "report_text_years": (year_report_text, _group_text_sql(BY_YEAR_SQL, "year", 10, "Year")),
+    "report_text_item_segment": (
+        gender_report_text,
+        f"{GENDER_LINES_SQL} UNION ALL SELECT unnest([repeat('=', 100), rpad('Item', 10, ' ') || ' ' || rpad('Title', 60, ' ') "
+        "|| ' ' || rpad('Gender', 8, ' ') || '    Average  Ratings', repeat('=', 100)])"),
+    "report_text_bands": (
+        band_report_text,
+        f"{BAND_LINES_SQL} UNION ALL SELECT unnest([repeat('=', 80), 'Ratings by age band', repeat('=', 80), repeat('=', 80)]) "
+        f"UNION ALL SELECT 'Items: ' || CAST(count(*) AS VARCHAR) FROM ({SEVEN_SQL})"),
     "rating_mean_every_item": (every_item, EVERY_ITEM_SQL),
     "key_value_items": (
         item_sentences,
