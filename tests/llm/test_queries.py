@@ -9,6 +9,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+import check
 import corpus_pipeline
 from tallywood.llm import queries
 from tallywood.llm.byte_bpe import read_ranks
@@ -31,6 +32,12 @@ def test_clashing_columns(spark, given, tables, name):
     assert sorted(map(repr, plain)) == sorted(map(repr, clash))
 
 
+@pytest.mark.parametrize("name", [n for n, (_, sql) in queries.QUERIES.items() if sql])
+def test_sql(spark, name):
+    con = check.connect("/root/testdata/sf0.001")
+    assert check.compare(spark, con, name, "/root/testdata/sf0.001") == []
+
+
 def by_id(rows):
     return sorted(rows, key=lambda r: (r[0], r[1] or ""))
 
