@@ -135,15 +135,18 @@ def _wide(data: bytes, low: int, bits: int) -> np.ndarray:
 
 
 def _numbers(values: np.ndarray) -> bytes:
-    """Whole numbers in the narrowest width that holds them all."""
-    top = int(values.max(initial=0))
-    kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if top <= np.iinfo(k).max)
-    return kind[-1].encode() + values.astype(kind).tobytes()
+    """Whole numbers as one byte each; those that need more follow with their places."""
+    large = np.flatnonzero(values >= 255)
+    head = np.array([len(values)], "<u8").tobytes()
+    return head + np.minimum(values, 255).astype("u1").tobytes() + large.astype("<u4").tobytes() + values[large].astype("<u8").tobytes()
 
 
 def _read(data: bytes) -> np.ndarray:
-    kind = {"1": "u1", "2": "<u2", "4": "<u4", "8": "<u8"}[data[:1].decode()]
-    return np.frombuffer(data, kind, offset=1).astype(np.int64)
+    n = int(np.frombuffer(data, "<u8", 1)[0])
+    values = np.frombuffer(data, "u1", n, 8).astype(np.int64)
+    large = (len(data) - 8 - n) // 12
+    values[np.frombuffer(data, "<u4", large, 8 + n)] = np.frombuffer(data, "<u8", large, 8 + n + 4 * large)
+    return values
 
 
 def with_target(docs: DataFrame, chosen: DataFrame, id_column: str) -> DataFrame:

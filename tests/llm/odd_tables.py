@@ -1,3 +1,5 @@
+"""Small tables with odd rows, as fixtures."""
+
 import random
 
 import pytest

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from odd_tables import given, tables  # noqa: F401
 from tokenizers import Tokenizer
 
 import check
