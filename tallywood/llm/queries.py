@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallywood.llm import language_spans, oracles, toxicity, wavelet_shards
 from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
-from tallywood.llm.common import fold, read_table
+from tallywood.llm.common import fold, materialize, read_table
 from tallywood.llm.decontamination import contaminated
 from tallywood.llm.lm_difference import cross_entropy_difference
 from tallywood.llm.partenum import similarity_components
@@ -57,7 +57,7 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     pages = pages.select("page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text"))
-    return drop_boilerplate(pages, "host", "text")
+    return drop_boilerplate(materialize(pages), "host", "text")  # read twice, taken out of the HTML once
 
 
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

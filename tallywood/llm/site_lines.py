@@ -12,7 +12,7 @@ RATIO = 0.1
 LEAST_PAGES = 3
 
 # Elements without text of the page, and those that do not end a line.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>"
+HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|title\b.*?</title\s*>)"
 INLINE = r"(?i)</?(?:a|b|i|u|em|strong|span|code|small|sub|sup)(?:\s[^>]*)?>"
 TAG = r"<[^>]*>"
 ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")]
