@@ -18,6 +18,8 @@ from tallywood.llm.decontamination import contaminated
 from tallywood.llm.partenum import similarity_components
 from tallywood.llm.site_lines import drop_boilerplate
 
+# Near copies: the words of a shingle, and the least similarity of their sets in percent.
+WIDTH, PERCENT = 5, 80
 # A document goes if the language found for it explains less of its letters than this.
 LEAST_SCORE = 0.3
 
@@ -36,12 +38,25 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*columns)
 
 
+def copied_texts(docs: DataFrame) -> DataFrame:
+    """``__key``: hashes of the texts that have an exact or a near copy among the documents."""
+    texts = docs.select(F.xxhash64("text").alias("__key"), "text")
+    found = similarity_components(texts, width=WIDTH, percent=PERCENT, id_column="__key")
+    keys = materialize(found.groupBy("__key").agg(F.min("component_id").alias("component"), F.count("*").alias("n")))
+    groups = keys.groupBy("component").agg(F.sum("n").alias("members")).where("members > 1")
+    return materialize(keys.join(groups, "component").select("__key"))
+
+
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many documents of their source have.
 
-    A document that consists of such lines stays whole, as it is a copy of others.
+    Exact and near copies stay whole, whatever share of their lines is repeated: a line less on
+    one side could take two of them below the similarity at which the next stage finds them. So
+    does a document that consists of such lines.
     """
-    cleaned = drop_boilerplate(docs, "source", "text", keep_whole=True)
+    copied = copied_texts(docs).withColumn("__copied", F.lit(True))
+    marked = docs.join(copied, F.xxhash64("text") == F.col("__key"), "left").drop("__key")
+    cleaned = drop_boilerplate(marked, "source", "text", keep_whole=True, whole="__copied")
     changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
@@ -52,7 +67,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Two documents are near copies if their sets of five-word shingles have a Jaccard similarity
     of 0.8 or more. Of rows that share an id one stays; rows without an id stay.
     """
-    found = materialize(similarity_components(docs, width=5, percent=80).where(F.col("doc_id").isNotNull()))
+    found = materialize(similarity_components(docs, width=WIDTH, percent=PERCENT).where(F.col("doc_id").isNotNull()))
     copies = found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n"))
     kept = without(docs, copies.where("first <> doc_id"), "doc_id")
     repeated = materialize(copies.where("first = doc_id AND n > 1").select("doc_id"))

@@ -62,13 +62,14 @@ def boilerplate(
 
 def drop_boilerplate(
     pages: DataFrame, site: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES,
-    keep_whole: bool = False,
+    keep_whole: bool = False, whole: str | None = None,
 ) -> DataFrame:
     """All rows and columns with ``text`` without its boilerplate lines, and two more columns.
 
     ``n_lines`` counts the lines of the text, ``n_dropped`` those taken out. Other lines stay as
     they are, blank ones too. With ``keep_whole`` a text of which no visible line would be left
-    stays whole: it is a copy of other pages rather than a page around boilerplate. Rows without
+    stays whole: it is a copy of other pages rather than a page around boilerplate. ``whole`` names
+    a flag of the rows that stay whole in any case; their lines count as others do. Rows without
     a site form a site of their own; a null text stays null with no lines. Columns of the input
     that are named like the two new ones give way to them.
 
@@ -90,6 +91,8 @@ def drop_boilerplate(
         F.filter("__all", lambda line: ~F.array_contains("__lines", _key(line)))
     )
     both = both.withColumn("__kept", is_kept)
+    if whole:
+        both = both.withColumn("__kept", F.when(F.coalesce(F.col(whole), F.lit(False)), F.col("__all")).otherwise(F.col("__kept")))
     if keep_whole:
         left_over = F.exists("__kept", lambda line: F.btrim(line, F.lit(" \t\r")) != "")
         both = both.withColumn("__kept", F.when(left_over, F.col("__kept")).otherwise(F.col("__all")))
