@@ -20,6 +20,9 @@ from tallywood.llm.site_lines import drop_boilerplate
 
 # Near copies: the words of a shingle, and the least similarity of their sets in percent.
 WIDTH, PERCENT = 5, 80
+# A line goes from more than this share of the documents of its source on, three at least. In the
+# given tables lines of this share stand on unrelated documents; others are lines of copies.
+LINE_RATIO = 0.002
 # A document goes if the language found for it explains less of its letters than this.
 LEAST_SCORE = 0.3
 
@@ -56,7 +59,7 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     copied = copied_texts(docs).withColumn("__copied", F.lit(True))
     marked = docs.join(copied, F.xxhash64("text") == F.col("__key"), "left").drop("__key")
-    cleaned = drop_boilerplate(marked, "source", "text", keep_whole=True, whole="__copied")
+    cleaned = drop_boilerplate(marked, "source", "text", LINE_RATIO, keep_whole=True, whole="__copied")
     changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -42,3 +42,14 @@ def test_near_copies_pass_line_dedup_whole(spark):
     assert all(got[i] == texts[i].removesuffix("\nAll rights reserved.") for i in range(80))
     third = STAGES["n-gram Jaccard join"](spark, spark.createDataFrame(second, docs.schema), "").collect()
     assert sorted(r.doc_id for r in third) == list(range(81))
+
+
+def test_repeated_lines_far_below_a_tenth_go(spark):
+    rng = random.Random(4)
+    own = [lines(rng, 4) for _ in range(600)]
+    passage, notice = lines(rng, 1, 50)[0], "Some rights reserved."
+    texts = ["\n".join([*x, passage] if i % 100 == 7 else [*x, notice] if i % 60 == 9 else [*x, own[0][0]] if i == 5 else x) for i, x in enumerate(own)]
+    docs = documents(spark, texts)
+    got = {r.doc_id: r.text for r in STAGES["line dedup"](spark, docs, "").collect()}
+    want = {i: "\n".join([*x, own[0][0]] if i == 5 else x) for i, x in enumerate(own)}
+    assert got == want
