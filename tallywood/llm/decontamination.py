@@ -15,6 +15,8 @@ from tallywood.llm.common import materialize
 
 # Selected positions of a window. Each mask ignores others than the next one.
 MASKS = ("110110111", "101101101011")
+# Every fourth word of a passage may differ: of any ten equal words of it such a window is a part.
+FOURTHS = ("10111011101",)
 # A stretch counts one for an equal word and loses so much for a different one.
 SUBSTITUTION = 2
 # Equal words that make a passage; items with fewer words must agree as a whole.
@@ -27,28 +29,37 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, key: str, masks: tuple[str, ...]) -> DataFrame:
-    """``key, at, mask, seed``: the seeds of every window of ``words``."""
-    shortest = min(map(len, masks))
+def _seeds(rows: DataFrame, key: str, masks: tuple[str, ...], whole: tuple[int, ...] = (), docs: bool = True) -> DataFrame:
+    """``key, at, mask, seed``: the seeds of every window of ``words``.
+
+    ``whole`` are numbers of words of items that are shorter than any mask; such an item has one
+    seed of all its words, and a document one of as many words from each place on.
+    """
+    shortest = min([*map(len, masks), *whole])
     starts = F.sequence(F.lit(0), F.size("words") - shortest)
     rows = rows.where(F.size("words") >= shortest).select(key, "words", F.explode(starts).alias("at"))
     seeds = []
-    for number, mask in enumerate(masks):
+    for number, mask in enumerate([*masks, *("1" * n for n in whole)]):
         picked = [F.get("words", F.col("at") + k) for k, use in enumerate(mask) if use == "1"]
-        whole = F.col("at") + len(mask) <= F.size("words")
-        seeds.append(F.struct(F.lit(number).alias("mask"), F.when(whole, F.xxhash64(*picked)).alias("seed")))
+        fits = F.col("at") + len(mask) <= F.size("words")
+        if number >= len(masks) and not docs:
+            fits = F.size("words") == len(mask)
+        seeds.append(F.struct(F.lit(number).alias("mask"), F.when(fits, F.xxhash64(*picked)).alias("seed")))
     return rows.select(key, "at", F.inline(F.array(*seeds))).where("seed IS NOT NULL")
 
 
-def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS + FOURTHS) -> DataFrame:
     """``doc, item, shift``: alignments of documents and items that share a seed.
 
     ``docs`` has ``doc`` and ``words``, ``items`` has ``item`` and ``words``. ``shift`` is the
-    position in the document less that in the item. The seeds of the items are written once, and
-    Spark broadcasts them where their size allows and joins by a shuffle where not.
+    position in the document less that in the item. Items with fewer words than a window are looked
+    up as a whole. The seeds of the items are written once, and Spark broadcasts them where their
+    size allows and joins by a shuffle where not.
     """
-    wanted = materialize(_seeds(items, "item", masks).withColumnRenamed("at", "place"))
-    found = _seeds(docs, "doc", masks).join(wanted, ["mask", "seed"])
+    sizes = items.select(F.size("words").alias("n")).where(F.col("n").between(1, min(map(len, masks)) - 1)).distinct()
+    whole = tuple(sorted(r["n"] for r in sizes.collect()))  # fewer than the words of a window
+    wanted = materialize(_seeds(items, "item", masks, whole, docs=False).withColumnRenamed("at", "place"))
+    found = _seeds(docs, "doc", masks, whole).join(wanted, ["mask", "seed"])
     return found.select("doc", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
 
 
@@ -85,7 +96,7 @@ def _stretch(words: str, item: str, shift: str) -> Column:
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = MASKS,
+    item_id: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = MASKS + FOURTHS,
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """``id, item_id, doc_start, item_start, n_words, n_equal, item_words``: one row per document
@@ -93,8 +104,8 @@ def contaminated(
 
     A passage is a stretch on one alignment with ``least_words`` equal words, or as many as the
     item has; of several alignments the one with the best score counts, then the first in the
-    document. Positions count words from 0. Null texts and texts with fewer words than a window
-    hold and are no passages. Rows that share an id are searched one by one and reported once; a
+    document. Positions count words from 0. Null texts and texts without words hold and are no
+    passages. Rows that share an id are searched one by one and reported once; a
     null id is an id like any other.
     """
     words = docs.select(F.col(id_column).alias("doc"), word_hashes(F.col(text)).alias("words"))
