@@ -64,23 +64,35 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """The documents with ``__row``, a key of id and text: one for rows that are equal in both."""
+    return docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the least id.
+    """One row of each group of near copies, that of the least id; rows without an id come last.
 
-    Two documents are near copies if their sets of five-word shingles have a Jaccard similarity
-    of 0.8 or more. Of rows that share an id one stays; rows without an id stay.
+    Two texts are near copies if their sets of five-word shingles have a Jaccard similarity of
+    0.8 or more. A row goes for its own text only, whatever other texts its id has. Texts without
+    words stay, but of equal rows with an id one stays.
     """
-    found = materialize(similarity_components(docs, width=WIDTH, percent=PERCENT).where(F.col("doc_id").isNotNull()))
-    copies = found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n"))
-    kept = without(docs, copies.where("first <> doc_id"), "doc_id")
-    repeated = materialize(copies.where("first = doc_id AND n > 1").select("doc_id"))
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(kept, repeated, "doc_id").unionByName(again)
+    rows = rows_of(docs)
+    found = similarity_components(rows, width=WIDTH, percent=PERCENT, id_column="__row")
+    found = found.groupBy("__row").agg(F.min("component_id").alias("component"), F.max("n_shingles").alias("size"), F.count("*").alias("n"))
+    found = found.join(rows.select("__row", "doc_id").distinct(), "__row")
+    found = materialize(found.withColumn("place", F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "__row")))
+    first = found.groupBy("component").agg(F.min("place").alias("first"))
+    copies = found.join(first, "component").where("place.__row <> first.__row")
+    kept = without(rows, copies, "__row")
+    repeated = materialize(found.where("n > 1 AND (size > 0 OR doc_id IS NOT NULL)").select("__row"))
+    again = kept.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    return without(kept, repeated, "__row").unionByName(again).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    return without(docs, contaminated(docs, read_table(spark, sf_dir, "benchmark")), "doc_id")
+    """Documents that hold no passage of the benchmark; a row goes for its own text only."""
+    rows = rows_of(docs)
+    return without(rows, contaminated(rows, read_table(spark, sf_dir, "benchmark"), "__row"), "__row").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

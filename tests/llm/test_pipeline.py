@@ -2,7 +2,7 @@
 
 import random
 
-from odd_tables import DOCUMENTS
+from odd_tables import DOCUMENTS, tables  # noqa: F401
 
 import corpus_pipeline
 
@@ -53,3 +53,23 @@ def test_repeated_lines_far_below_a_tenth_go(spark):
     got = {r.doc_id: r.text for r in STAGES["line dedup"](spark, docs, "").collect()}
     want = {i: "\n".join([*x, own[0][0]] if i == 5 else x) for i, x in enumerate(own)}
     assert got == want
+
+
+def test_rows_go_for_their_own_text(spark):
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(lines(rng, 1, 40)) for _ in range(4))
+    near = " ".join([*a.split()[:-1], "changed"])
+    rows = [(1, a), (2, near), (2, b), (3, c), (3, d), (None, c), (None, b + " " + d), (None, near), (4, d), (4, d), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], DOCUMENTS)
+    kept = [(r.doc_id, r.text) for r in STAGES["n-gram Jaccard join"](spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (2, b), (3, c), (3, d), (None, b + " " + d), (None, "")], key=str)
+
+
+def test_benchmark_takes_single_rows(spark, tables):
+    rng = random.Random(6)
+    a, b, passage = (" ".join(lines(rng, 1, 30)) for _ in range(3))
+    rows = [(i, t, "en", "src", 0) for i, t in [(1, a), (1, passage), (None, b), (None, a + " " + passage)]]
+    path = tables(rows, passage)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = STAGES["benchmark decontamination"](spark, docs, path).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (None, b)], key=str)
