@@ -166,17 +166,18 @@ def unpack(blob: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
     return WaveletMatrix(rows, ranks, zeros, size), doc_ids, starts
 
 
-_OPEN: dict[str, tuple] = {}
+_OPEN: dict[tuple, tuple] = {}
 
 
-def _encoder(key: str, shared) -> tuple[WordMemory, int]:
+def _encoder(name: str, shared, split_special: bool) -> tuple[WordMemory, int]:
     """The tokenizer of a Python worker with its memory of words, and the planes of its ids."""
+    key = name, split_special
     if key not in _OPEN:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = split_special
         planes = max(1, (tokenizer.get_vocab_size() - 1).bit_length())
         code = "H" if planes <= 16 else "I"
 
@@ -190,13 +191,14 @@ def _encoder(key: str, shared) -> tuple[WordMemory, int]:
 
 def write_shards(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, id_column: str = "doc_id",
-    text: str = "text",
+    text: str = "text", split_special: bool = False,
 ) -> None:
     """Encode all texts, end each with ``end_id`` and write the shards below ``path``.
 
     A null text counts as empty and has the end id alone. Rows are cut into ranges of their ids,
     rows without an id come first with id 0 in their place; rows of one id are in order of their
-    texts. A range is sorted and encoded as a stream, so that a task holds one segment.
+    texts. Special tokens written out in a text get their ids, as the library has it by default;
+    with ``split_special`` they are encoded as ordinary text. A range is sorted and encoded as a stream, so that a task holds one segment.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
@@ -208,7 +210,7 @@ def write_shards(
     )
 
     def work(batches):
-        memory, planes = _encoder(tokenizer, shared)
+        memory, planes = _encoder(tokenizer, shared, split_special)
         kind = np.uint16 if planes <= 16 else np.uint32
         end = np.array([end_id], kind).tobytes()
         current, segment, first, size = None, 0, 0, 0
