@@ -31,6 +31,11 @@ SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t
 
 EDGES = ".,;:!?\"'()[]{}<>…«»“”„-–—*#%&$"
 DISGUISED = re.compile(r"[^\W\d_][0-9@$!*|#._-]+[^\W\d_]")
+# Around a token, without the signs that may stand for a letter of it.
+OUTER = EDGES.replace("*", "").replace("$", "")
+EDGE_DISGUISED = re.compile(r"^[@$|]+[^\W\d_]|[^\W\d_][@$|]+$|^[^\W\d_]+\*\*+$")
+EDGE_SIGN = re.compile(r"^[013457@$!|]|[013457@$!|]$")
+NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 
 FEATURES = [
@@ -45,6 +50,14 @@ def words_of(text: str) -> list[str]:
     return [w for w in (t.strip(EDGES) for t in text.lower().split()) if w]
 
 
+def edged(token: str, word: str) -> str | None:
+    """A token with signs in place of its first or last letters; None if it is just its ``word``."""
+    full = token.strip(OUTER)
+    if full == word and not EDGE_SIGN.search(full):
+        full = token.strip(OUTER.replace("!", ""))
+    return full if EDGE_SIGN.search(full) or EDGE_DISGUISED.search(full) else None
+
+
 def plain(word: str) -> str:
     """A disguised word with letters in place of the signs that stand for them."""
     return re.sub(r"[^\w]|_", "", word.translate(SIGNS))
@@ -52,7 +65,8 @@ def plain(word: str) -> str:
 
 def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     """The features of a text in the order of ``FEATURES``; all are 0 for an empty one."""
-    words = words_of(text) if text else []
+    tokens = [t for t in text.lower().split() if t.strip(EDGES)] if text else []
+    words = [t.strip(EDGES) for t in tokens]
     if not words:
         return [0.0] * len(FEATURES)
     n, letters = len(words), len(text)
@@ -60,13 +74,18 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     hits = [i for i, w in enumerate(weights) if w is not None]
     found = [weights[i] for i in hits]
     odd = [i for i, w in enumerate(words) if not w.isalpha()]
-    disguised = [i for i in odd if DISGUISED.search(words[i])]
-    uncovered = [i for i in disguised if weights[i] is None and plain(words[i]) in lexicon]
-    hits = sorted(hits + uncovered)
-    found += [lexicon[plain(words[i])] for i in uncovered]
-    persons = [i for i, w in enumerate(words) if w in SECOND_PERSON] if hits else []
+    at_edges = {i: full for i, t in enumerate(tokens) if not t.isalpha() and (full := edged(t, words[i]))}
+    disguised = sorted({i for i in odd if DISGUISED.search(words[i])} | {i for i, t in at_edges.items() if EDGE_DISGUISED.search(t)})
+    uncovered = {}
+    for i in {*disguised, *at_edges}:
+        readings = [plain(w) for w in (at_edges.get(i), words[i]) if w]
+        if weights[i] is None and (reading := next((r for r in readings if r in lexicon), None)):
+            uncovered[i] = lexicon[reading]
+    hits = sorted([*hits, *uncovered])
+    found += [uncovered[i] for i in sorted(uncovered)]
+    persons = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near = 0
-    if persons:
+    if persons and hits:
         places = np.array(persons)
         at = np.array(hits)
         after = np.searchsorted(places, at)
@@ -75,11 +94,12 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         )
         near = int((gap <= NEAR).sum())
     ascii_counts = np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=128)
-    upper = int(ascii_counts[65:91].sum())
-    lower = int(ascii_counts[97:123].sum())
+    others = "" if text.isascii() else "".join(NOT_ASCII.findall(text))
+    upper = int(ascii_counts[65:91].sum()) + sum(map(str.isupper, others))
+    lower = int(ascii_counts[97:123].sum()) + sum(map(str.islower, others))
     signs = int(ascii_counts[33:48].sum() + ascii_counts[58:65].sum() + ascii_counts[91:97].sum() + ascii_counts[123:127].sum())
     strange = int(ascii_counts[[35, 36, 37, 38, 42, 64, 94, 126]].sum())
-    shouted = sum(w.isupper() and len(w) > 2 for w in text.split()) if upper > 2 else 0
+    shouted = sum(w.isupper() and len(w) > 2 for w in text.split()) if upper else 0
     return [
         len(hits) / n, sum(found) / n, float(np.log1p(len(hits))), max(found, default=0.0), near / n,
         len(persons) / n, upper / max(upper + lower, 1), shouted / n, int(ascii_counts[33]) / letters,
@@ -108,6 +128,8 @@ def learn_lexicon(texts: DataFrame, text: str, label: str) -> dict[str, float]:
             for flag, value in zip(labels.to_pylist(), strings.to_pylist(), strict=True):
                 found = set(words_of(value or ""))
                 found |= {plain(w) for w in found if not w.isalpha() and DISGUISED.search(w)}
+                tokens = {t.strip(OUTER) for t in (value or "").lower().split()}
+                found |= {plain(t) for t in tokens if not t.isalpha() and EDGE_DISGUISED.search(t)}
                 (toxic if flag else clean).update(found)
                 sizes[0 if flag else 1] += 1
             keys = sorted(toxic.keys() | clean.keys())
