@@ -108,3 +108,33 @@ losses AS (SELECT k, target, tokens, sum(times * -ln((pair + {lm_difference.MU}
 each AS (SELECT k, any_value(tokens) AS tokens, max(loss) FILTER (target) AS t, max(loss) FILTER (NOT target) AS b FROM losses GROUP BY k)
 SELECT doc_id, CAST(coalesce(tokens, 0) AS BIGINT) AS n_tokens, round(t, 6) AS target_loss, round(b, 6) AS background_loss,
   round(t - b, 6) AS difference FROM docs LEFT JOIN each USING (k)"""
+
+
+def _assigned(number: int) -> str:
+    """Every vector with its nearest centroid of a round, of equally near ones the first."""
+    gaps = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    return (
+        f"a{number} AS MATERIALIZED (SELECT k, vec_id, x, best.cluster AS cluster, best.distance AS distance FROM (SELECT v.k, v.vec_id, any_value(v.x) AS x, "
+        f"min({{'distance': CAST({gaps} AS BIGINT), 'cluster': c.cluster}}) AS best FROM v, c{number} c GROUP BY v.k, v.vec_id))"
+    )
+
+
+def _moved(number: int) -> str:
+    """Centroids after a round: the floor of the mean of their vectors, or what they were."""
+    floored = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+    return (
+        f"c{number + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{number} c LEFT JOIN (SELECT cluster, list({floored} ORDER BY i) AS x "
+        f"FROM (SELECT cluster, i, sum(e) AS s, count(*) AS n FROM (SELECT cluster, unnest(x) AS e, unnest(range(64)) AS i FROM a{number}) GROUP BY cluster, i) "
+        f"GROUP BY cluster) m ON m.cluster = c.cluster)"
+    )
+
+
+HADAMARD_CLUSTERS = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda e: e IS NOT NULL AND isfinite(e)))),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS INTEGER) AS cluster, x FROM v WHERE vec_id IS NOT NULL
+  QUALIFY cluster < 16),
+{_assigned(0)}, {_moved(0)}, {_assigned(1)}, {_moved(1)}, {_assigned(2)}, {_moved(2)}, {_assigned(3)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (cluster)"""

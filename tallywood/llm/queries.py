@@ -11,11 +11,14 @@ from tallywood.llm.byte_shards import shard_by_bytes
 from tallywood.llm.byte_bpe import digest_table
 from tallywood.llm.common import fold, materialize, read_table
 from tallywood.llm.decontamination import contaminated
+from tallywood.llm.hadamard_clusters import cluster
 from tallywood.llm.lm_difference import cross_entropy_difference
 from tallywood.llm.partenum import similarity_components
 from tallywood.llm.quartile_digest import edited_digests
+from tallywood.llm.simhash_tiles import near_duplicates
 from tallywood.llm.site_lines import drop_boilerplate, host_of, page_text
-from tallywood.session import fresh_dir
+from tallywood.llm.whitening import whiten
+from tallywood.session import apply_settings, fresh_dir
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +79,18 @@ def lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in losses])
 
 
+def simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(apply_settings(spark), sf_dir, "documents"))
+
+
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(apply_settings(spark), sf_dir, "embeddings"))
+
+
+def hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read_table(apply_settings(spark), sf_dir, "embeddings"))
+
+
 # Name: query and its SQL, or None where SQL cannot express it.
 QUERIES = {
     "op1_spaced_seeds": (decontamination, oracles.DECONTAMINATION),
@@ -88,4 +103,7 @@ QUERIES = {
     "op8_site_lines": (site_lines, oracles.SITE_LINES),
     "op9_language_spans": (language, None),
     "op10_lm_difference": (lm_difference, oracles.LM_DIFFERENCE),
+    "op11_simhash_tiles": (simhash_tiles, None),
+    "op12_jacobi_davidson": (whitening, None),
+    "op13_hadamard_clusters": (hadamard_clusters, oracles.HADAMARD_CLUSTERS),
 }

@@ -48,7 +48,7 @@ def corpus(seed=1, n=60):
 @pytest.fixture
 def tables(spark, tmp_path):
     """Write tables to a new folder, as the queries read them."""
-    def write(documents, passage="", labels=(), extra="", pages=()):
+    def write(documents, passage="", labels=(), extra="", pages=(), vectors=()):
         path = str(tmp_path / f"tables{len(list(tmp_path.iterdir()))}")
         docs = spark.createDataFrame(documents, DOCUMENTS)
         for name in extra.split():
@@ -58,10 +58,24 @@ def tables(spark, tmp_path):
         spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
         spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
         spark.createDataFrame(list(pages), "page_id long, url string, html string").write.parquet(f"{path}/pages.parquet")
+        embeddings = spark.createDataFrame(list(vectors), "vec_id long, embedding array<float>, label int")
+        for name in set(extra.split()) - {"label"}:
+            embeddings = embeddings.selectExpr("*", f"vec_id AS `{name}`")
+        embeddings.write.parquet(f"{path}/embeddings.parquet")
         return path
     return write
 
 
+def odd_vectors(seed=5, n=120, size=64):
+    """Vectors of a table ``vec_id, embedding, label`` with repeated, broken and other ones."""
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 0.02 * (1 + j % 7)) for j in range(size)], i % 3) for i in range(n)]
+    rows += [rows[4], rows[4], (n, rows[4][1], 0), (None, rows[5][1], None), (n + 1, [0.0] * size, 0)]
+    broken = [float("nan"), float("inf"), None]
+    rows += [(n + 2 + i, [*rows[i][1][:-1], value], 0) for i, value in enumerate(broken)]
+    return rows + [(n + 9, None, 0), (n + 10, [], 0), (n + 11, [1.0], 0), (n + 12, [1.0] * (size + 1), 0)]
+
+
 @pytest.fixture
 def given(tables):
     rows, passage = corpus()
@@ -69,4 +83,4 @@ def given(tables):
     pages = [
         (i, f"http://Host{i % 2}.example/{i}", f"<p>Home</p><p>Page {i} <b>text</b></p><script>x</script>") for i in range(12)
     ] + [(12, None, None), (13, "x", ""), (13, "x", "")]
-    return rows, passage, labels, tables(rows, passage, labels, pages=pages)
+    return rows, passage, labels, tables(rows, passage, labels, pages=pages, vectors=odd_vectors())

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from odd_tables import given, tables  # noqa: F401
+from odd_tables import given, odd_vectors, tables  # noqa: F401
 from tokenizers import Tokenizer
 
 import check
@@ -17,7 +17,7 @@ from tallywood.llm.byte_bpe import read_ranks
 from tallywood.llm.quartile_digest import digests, likeness
 
 ALL = {**{name: query for name, (query, _) in queries.QUERIES.items()}, "pipeline": corpus_pipeline.run}
-CLASHING = "a b at words sig rep n parity score spans lines n_lines component_id shard part block keys label features item shift text_crc32 size"
+CLASHING = "a b at words sig rep n parity score spans lines n_lines component_id shard part block keys label features item shift text_crc32 size fp place id vector ids x cluster distance component i j members"
 
 
 @pytest.mark.parametrize("name", ALL)
@@ -25,11 +25,12 @@ def test_empty_tables(spark, tables, name):
     assert ALL[name](spark, tables([])).collect() == []
 
 
-@pytest.mark.parametrize("name", ["op1_spaced_seeds", "op6_byte_shards", "op9_language_spans", "op10_lm_difference", "op4_ngram_jaccard", "pipeline"])
+@pytest.mark.parametrize("name", ["op1_spaced_seeds", "op6_byte_shards", "op9_language_spans", "op10_lm_difference", "op4_ngram_jaccard",
+                                  "op11_simhash_tiles", "op12_jacobi_davidson", "op13_hadamard_clusters", "pipeline"])
 def test_clashing_columns(spark, given, tables, name):
     rows, passage, labels, path = given
     plain = ALL[name](spark, path).collect()
-    clash = ALL[name](spark, tables(rows, passage, labels, extra=CLASHING)).collect()
+    clash = ALL[name](spark, tables(rows, passage, labels, extra=CLASHING, vectors=odd_vectors())).collect()
     assert sorted(map(repr, plain)) == sorted(map(repr, clash))
 
 
