@@ -195,6 +195,8 @@ def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
 
 # Members of a signature that are compared with each other in one piece of work.
 BLOCK = 1024
+# Partners that a set is compared with in one place.
+PARTNERS = 1000
 # Ids that are sent to every task; beyond it texts are found by a shuffled join.
 BROADCAST_IDS = 500_000
 
@@ -259,30 +261,54 @@ def shared_signatures(docs: DataFrame, width: int, percent: int, id_column: str,
 def verified(
     pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_column: str, text: str
 ) -> DataFrame:
-    """The ``a, b`` pairs whose sets are similar enough, by the sets themselves."""
-    pairs = materialize(pairs.distinct())
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias(id_column)).distinct())
-    few = wanted.count() <= BROADCAST_IDS
-    chosen = docs.select(id_column, text).join(F.broadcast(wanted) if few else wanted, id_column, "left_semi")
+    """The ``a, b`` pairs whose sets are similar enough, by the sets themselves.
+
+    The set of ``b`` travels once, to the place where that of ``a`` waits for it; an ``a`` with
+    many partners waits in several places. A task holds the sets of one ``a`` and reads the others
+    as a stream.
+    """
+    spark = docs.sparkSession
+    pairs = pairs.distinct()
+    places = F.ceil(F.col("partners") / PARTNERS)
+    dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("partners")), "a")
+    dealt = dealt.select("a", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"), "b")
+    dealt = materialize(dealt)
+    waiting = dealt.select("a", "place", F.col("a").alias("b")).distinct()
+    sent = materialize(waiting.withColumn("role", F.lit(0)).unionByName(dealt.withColumn("role", F.lit(1))))
+    few = sent.count() <= BROADCAST_IDS
+    chosen = docs.select(F.col(id_column).alias("b"), F.col(text).alias("text")).join(F.broadcast(sent) if few else sent, "b")
 
     def shingle(batches):
-        shingles = Shingles(width)
-        for ids, texts in batches:
-            yield ids, [h.tobytes() for part in slices(texts) for h in shingles.of_all(part)]
+        shingles, last, hashes = Shingles(width), None, None
+        for all_a, all_places, roles, all_b, texts in batches:
+            found = []
+            for own in texts:  # a text with several places stands several times, one after the other
+                value = own.as_py()
+                if hashes is None or value != last:
+                    last, hashes = value, shingles.of(value).tobytes()
+                found.append(hashes)
+            yield all_a, all_places, roles, all_b, found
 
     def check(batches):
-        for a, b, left, right in batches:
-            keep = [
-                similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent)
-                for x, y in zip(left, right, strict=True)
-            ]
-            mask = np.array(keep, bool)
-            yield a.to_numpy()[mask], b.to_numpy()[mask]
-
-    own = materialize(map_rows(chosen, [id_column, text], shingle, "id long, hashes binary"))
-    left = own.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
-    right = own.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
-    return map_rows(pairs.join(left, "a").join(right, "b"), ["a", "b", "left", "right"], check, "a long, b long")
+        key, held = None, []
+        for all_a, all_places, roles, all_b, all_hashes in batches:
+            kept = []
+            rows = zip(all_a.to_pylist(), all_places.to_pylist(), roles.to_pylist(), all_b.to_pylist(), all_hashes, strict=True)
+            for a, place, role, b, hashes in rows:
+                if (a, place) != key:
+                    key, held = (a, place), []
+                own = np.frombuffer(hashes.as_py(), np.uint64)
+                if role == 0:
+                    held.append(own)
+                elif any(similar(other, own, percent) for other in held):
+                    kept.append((a, b))
+            yield [a for a, _ in kept], [b for _, b in kept]
+
+    schema = "a long, place int, role int, b long, hashes binary"
+    columns = ["a", "place", "role", "b", "hashes"]
+    rows = map_rows(chosen, ["a", "place", "role", "b", "text"], shingle, schema)
+    rows = rows.repartition(partitions(spark), "a", "place").sortWithinPartitions("a", "place", "role")
+    return map_rows(rows, columns, check, "a long, b long")
 
 
 def similarity_components(
@@ -296,15 +322,16 @@ def similarity_components(
     component. Rows that share an id are one document with several texts.
 
     1. Equal sets become one, that of the least id. Its signatures are grouped; only those with
-       several sets go on.
-    2. In each group the set with the most such signatures is compared with all others: a rough
-       test on parity rows, which no similar pair fails, then the exact one. This links copies of
-       one text in as many comparisons as there are copies.
-    3. Groups that still hold several components are compared in full, in blocks, but only across
-       components and again by parity rows first, so no link between components is lost and no
-       pairs within one are made.
+       several sets go on, and of groups with the same members one.
+    2. In each group the set with the most such signatures is its pivot. Each set is compared once,
+       with the pivot it shares most signatures with: a rough test on parity rows, which no similar
+       pair fails, then the exact one. This links copies of one text in as many comparisons as
+       there are copies.
+    3. Groups that still hold several components are compared in blocks, across components only.
+       First the pair of each two components goes on that parity rows show to be closest, then,
+       where these did not link, all pairs that parity rows do not rule out. So no link between
+       components is lost and no pairs within one are made.
     """
-    spark = docs.sparkSession
     base = materialize(sets(docs, width, percent, id_column, text))
     full = base.where(F.col("n_shingles") > 0)
     reps = full.groupBy("set_id").agg(F.min(id_column).alias("rep"), F.first("n_shingles").alias("n"), F.first("parity").alias("parity"))
@@ -314,16 +341,17 @@ def similarity_components(
     named = full.select(F.col(id_column).alias("id"), "set_id").join(reps.select("set_id", "rep"), "set_id").select("id", "rep")
     found = shared_signatures(docs, width, percent, id_column, text)
     groups = materialize(found.join(named, "id").select("sig", "rep").distinct())
-    degree = groups.groupBy("rep").agg(F.count("*").alias("degree"))
-    kinds = groups.join(degree, "rep").groupBy("sig").agg(
-        F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"),
-        F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"), F.max_by("rep", F.struct("degree", "rep")).alias("pivot"),
+    kinds = groups.groupBy("sig").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")
     )
-    # Copies share many signatures; of groups with the same members one is enough.
-    kept = kinds.where("members > 1").groupBy("members", "x", "y", "pivot").agg(F.min("sig").alias("sig"))
-    rows = materialize(groups.join(kept.select("sig", "members", "pivot"), "sig"))
-
-    near = rows.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    # Copies share many signatures; of groups with the same members one is enough, with its weight.
+    kept = kinds.where("members > 1").groupBy("members", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("weight"))
+    rows = materialize(groups.join(kept.select("sig", "members", "weight"), "sig"))
+
+    degree = rows.groupBy("rep").agg(F.sum("weight").alias("degree"))
+    pivots = rows.join(degree, "rep").groupBy("sig").agg(F.max_by("rep", F.struct("degree", "rep")).alias("pivot"))
+    choices = rows.join(pivots, "sig").where("rep <> pivot").groupBy("rep", "pivot").agg(F.sum("weight").alias("shared"))
+    near = choices.groupBy("rep").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("a")).withColumnRenamed("rep", "b")
     near = near.join(reps.select(F.col("rep").alias("a"), F.col("n").alias("m"), F.col("parity").alias("other")), "a")
     near = near.join(reps.select(F.col("rep").alias("b"), "n", "parity"), "b")
 
@@ -340,10 +368,24 @@ def similarity_components(
 
     near = map_rows(near, ["a", "b", "m", "n", "other", "parity"], close, "a long, b long")
     links = materialize(verified(near, docs, width, percent, id_column, text))
-    first = components(links)
+    known = components(links)
+    for closest in (True, False):
+        pairs = _between(rows, reps, known, percent, closest)
+        links = materialize(links.unionByName(verified(pairs, docs, width, percent, id_column, text)))
+        known = components(links)
 
+    out = base.join(reps.select("set_id", "rep"), "set_id", "left")
+    out = out.join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    return out.select(
+        id_column, "n_shingles",
+        F.when(F.col("n_shingles") == 0, F.col(id_column)).otherwise(F.coalesce("component", "rep", F.col(id_column))).alias("component_id"),
+    )
+
+
+def _between(rows: DataFrame, reps: DataFrame, known: DataFrame, percent: int, closest: bool) -> DataFrame:
+    """``a, b``: pairs across components in the groups that hold several, as step 3 needs them."""
     label = F.coalesce("component", "rep").alias("component")
-    marked = rows.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "members", "rep", label)
+    marked = rows.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "members", "rep", label)
     marked = materialize(marked)
     open_groups = marked.groupBy("sig").agg((F.min("component") != F.max("component")).alias("open")).where("open")
     # A group of more than one block meets itself block by block.
@@ -360,26 +402,20 @@ def similarity_components(
             keys = list(zip(sig.to_pylist(), i.to_pylist(), j.to_pylist(), strict=True))
             for own_key, row in zip(keys, zip(*(c.to_pylist() for c in columns), strict=True), strict=True):
                 if own_key != key:
-                    yield from _across(held, percent)
+                    yield from _across(held, percent, closest)
                     key, held = own_key, []
                 held.append(row)
-        yield from _across(held, percent)
+        yield from _across(held, percent, closest)
 
-    dealt = dealt.repartition(partitions(spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    rest = map_rows(dealt, ["sig", "i", "j", "block", "rep", "n", "component", "parity"], across, "a long, b long")
-    more = verified(rest, docs, width, percent, id_column, text)
-    final = components(links.unionByName(more))
+    dealt = dealt.repartition(partitions(rows.sparkSession), "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return map_rows(dealt, ["sig", "i", "j", "block", "rep", "n", "component", "parity"], across, "a long, b long")
 
-    out = base.join(reps.select("set_id", "rep"), "set_id", "left")
-    out = out.join(final.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select(
-        id_column, "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col(id_column)).otherwise(F.coalesce("component", "rep", F.col(id_column))).alias("component_id"),
-    )
 
+def _across(rows: list[tuple], percent: int, closest: bool = False):
+    """Pairs of different components among rows that the parity rows do not rule out.
 
-def _across(rows: list[tuple], percent: int):
-    """Pairs of different components among rows that the parity rows do not rule out."""
+    With ``closest`` only one for each two components, that of the least distance of parity rows.
+    """
     if len(rows) < 2:
         return
     block, rep, n, component = (np.array([r[k] for r in rows], np.int64) for k in range(4))
@@ -387,6 +423,7 @@ def _across(rows: list[tuple], percent: int):
         return
     size = min(len(r[4]) for r in rows)
     marks = folded([r[4] for r in rows], size)
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
     # Two blocks: pairs between them; one block with itself: each pair once.
     for k in range(len(rows) - 1):
         other = slice(k + 1, None)
@@ -395,6 +432,17 @@ def _across(rows: list[tuple], percent: int):
         keep &= (100 * n[other] >= percent * n[k]) & (100 * n[k] >= percent * n[other])
         if block[0] != block[-1] or (block != block[0]).any():
             keep &= block[other] != block[k]
-        if keep.any():
-            b = rep[other][keep]
+        if not keep.any():
+            continue
+        b = rep[other][keep]
+        if not closest:
             yield np.full(len(b), rep[k]), b
+            continue
+        there, gaps = component[other][keep], distance[keep]
+        order = np.argsort(gaps, kind="stable")
+        for c, first in zip(*np.unique(there[order], return_index=True), strict=True):
+            at, own = order[first], int(component[k])
+            both = (min(own, int(c)), max(own, int(c)))
+            best[both] = min(best.get(both, (int(gaps[at]) + 1, 0, 0)), (int(gaps[at]), int(rep[k]), int(b[at])))
+    if best:
+        yield [a for _, a, _ in best.values()], [b for _, _, b in best.values()]
