@@ -20,8 +20,9 @@ from tallywood.llm.site_lines import drop_boilerplate
 
 # Near copies: the words of a shingle, and the least similarity of their sets in percent.
 WIDTH, PERCENT = 5, 80
-# A line goes from more than this share of the documents of its source on, three at least. In the
-# given tables lines of this share stand on unrelated documents; others are lines of copies.
+# A line goes from more than this share of the documents of its source on, three at least, a group
+# of copies counted as one. This is the parameter of the stage to set for a corpus: a line that
+# stands on one of 500 otherwise unrelated documents is not a document's own.
 LINE_RATIO = 0.002
 # A document goes if the language found for it explains less of its letters than this.
 LEAST_SCORE = 0.3
@@ -41,25 +42,22 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*columns)
 
 
-def copied_texts(docs: DataFrame) -> DataFrame:
-    """``__key``: hashes of the texts that have an exact or a near copy among the documents."""
-    texts = docs.select(F.xxhash64("text").alias("__key"), "text")
-    found = similarity_components(texts, width=WIDTH, percent=PERCENT, id_column="__key")
-    keys = materialize(found.groupBy("__key").agg(F.min("component_id").alias("component"), F.count("*").alias("n")))
-    groups = keys.groupBy("component").agg(F.sum("n").alias("members")).where("members > 1")
-    return materialize(keys.join(groups, "component").select("__key"))
+def grouped(pages: DataFrame) -> DataFrame:
+    """Pages with ``__group``, the same for exact and near copies."""
+    pages = pages.withColumn("__key", F.xxhash64("text"))
+    found = similarity_components(pages, width=WIDTH, percent=PERCENT, id_column="__key")
+    groups = found.groupBy("__key").agg(F.min("component_id").alias("__group"))
+    return pages.drop("text").join(groups, "__key")
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many documents of their source have.
 
-    Exact and near copies stay whole, whatever share of their lines is repeated: a line less on
-    one side could take two of them below the similarity at which the next stage finds them. So
-    does a document that consists of such lines.
+    A group of exact and near copies counts as one document, so the lines of a text do not become
+    boilerplate because the text was copied; what is boilerplate goes from all members alike. A
+    document that consists of such lines stays whole.
     """
-    copied = copied_texts(docs).withColumn("__copied", F.lit(True))
-    marked = docs.join(copied, F.xxhash64("text") == F.col("__key"), "left").drop("__key")
-    cleaned = drop_boilerplate(marked, "source", "text", LINE_RATIO, keep_whole=True, whole="__copied")
+    cleaned = drop_boilerplate(docs, "source", "text", LINE_RATIO, keep_whole=True, grouped=grouped)
     changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

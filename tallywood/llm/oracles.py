@@ -71,7 +71,8 @@ _BLANK = "trim(l, ' ' || chr(9) || chr(13))"
 SITE_LINES = rf"""
 WITH pages_ AS (SELECT row_number() OVER () AS k, page_id,
   lower(regexp_extract(coalesce(url, ''), '{site_lines.HOST}', 1)) AS host,
-  trim(regexp_replace({_replaced(_PAGE)}, '[ \t\r\f\n]*\n[ \t\r\f\n]*', chr(10), 'g'), chr(10)) AS text FROM pages),
+  array_to_string(list_filter(list_transform(string_split({_replaced(_PAGE)}, chr(10)), lambda l: trim(l, ' ' || chr(9) || chr(13) || chr(12))),
+    lambda l: l <> ''), chr(10)) AS text FROM pages),
 cut AS (SELECT *, string_split(text, chr(10)) AS lines FROM pages_),
 seen AS (SELECT k, host, unnest(list_distinct(list_filter(list_transform(lines, lambda l: {_BLANK}), lambda l: l <> ''))) AS l FROM cut),
 sizes AS (SELECT host, count(*) AS pages FROM cut GROUP BY host),

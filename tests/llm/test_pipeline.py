@@ -55,6 +55,25 @@ def test_repeated_lines_far_below_a_tenth_go(spark):
     assert got == want
 
 
+def test_repeated_lines_go_from_copies_too(spark):
+    """A notice on many texts goes from the members of a group as from others; the group's own lines stay."""
+    rng = random.Random(8)
+    notice = "Some rights reserved, see the page of terms."
+    base = lines(rng, 8, 30)
+    texts = ["\n".join([*lines(rng, 5), notice] if i % 10 == 0 else lines(rng, 5)) for i in range(60)]
+    copies = []
+    for i in range(30):
+        copy = list(base)
+        copy[i % 8] = copy[i % 8] + f" word{i}"
+        copies.append("\n".join(copy))
+    docs = documents(spark, texts + [f"{c}\n{notice}" for c in copies])
+    second = STAGES["line dedup"](spark, docs, "").collect()
+    got = {r.doc_id: r.text for r in second}
+    assert got == dict(enumerate([t.removesuffix("\n" + notice) for t in texts] + copies))
+    third = STAGES["n-gram Jaccard join"](spark, spark.createDataFrame(second, docs.schema), "").collect()
+    assert sorted(r.doc_id for r in third) == list(range(61))
+
+
 def test_rows_go_for_their_own_text(spark):
     rng = random.Random(5)
     a, b, c, d = (" ".join(lines(rng, 1, 40)) for _ in range(4))
