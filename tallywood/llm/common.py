@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tallywood.session import materialize
 
-__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "slices", "with_range", "without"]
+__all__ = ["fold", "map_rows", "materialize", "partitions", "read_table", "slices", "small_batches", "with_range", "without"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,16 @@ def slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[list[str | None]]
         yield part
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most so many rows move to Python at once, also in a session that allows more.
+
+    Rows may be texts or sets of any length, and a task holds a batch several times.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= rows:
+        spark.conf.set(setting, str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle, as the deployment has set them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.llm.common import map_rows, materialize, partitions, slices
+from tallywood.llm.common import map_rows, materialize, partitions, slices, small_batches
 from tallywood.llm.components import components
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x94D049BB133111EB)
@@ -272,7 +272,6 @@ def verified(
     places = F.ceil(F.col("partners") / PARTNERS)
     dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("partners")), "a")
     dealt = dealt.select("a", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"), "b")
-    dealt = materialize(dealt)
     waiting = dealt.select("a", "place", F.col("a").alias("b")).distinct()
     sent = materialize(waiting.withColumn("role", F.lit(0)).unionByName(dealt.withColumn("role", F.lit(1))))
     few = sent.count() <= BROADCAST_IDS
@@ -281,13 +280,14 @@ def verified(
     def shingle(batches):
         shingles, last, hashes = Shingles(width), None, None
         for all_a, all_places, roles, all_b, texts in batches:
-            found = []
-            for own in texts:  # a text with several places stands several times, one after the other
-                value = own.as_py()
-                if hashes is None or value != last:
-                    last, hashes = value, shingles.of(value).tobytes()
-                found.append(hashes)
-            yield all_a, all_places, roles, all_b, found
+            for start in range(0, len(texts), 64):
+                found = []
+                for own in texts.slice(start, 64):  # one with several places stands several times, one after the other
+                    value = own.as_py()
+                    if hashes is None or value != last:
+                        last, hashes = value, shingles.of(value).tobytes()
+                    found.append(hashes)
+                yield *(c.slice(start, 64) for c in (all_a, all_places, roles, all_b)), found
 
     def check(batches):
         key, held = None, []
@@ -328,10 +328,11 @@ def similarity_components(
        pair fails, then the exact one. This links copies of one text in as many comparisons as
        there are copies.
     3. Groups that still hold several components are compared in blocks, across components only.
-       First the pair of each two components goes on that parity rows show to be closest, then,
-       where these did not link, all pairs that parity rows do not rule out. So no link between
-       components is lost and no pairs within one are made.
+       First each set goes on with the one of another component that parity rows show to be
+       nearest, then, where components are still apart, all pairs that parity rows do not rule
+       out. So no link between components is lost and no pairs within one are made.
     """
+    small_batches(docs.sparkSession)
     base = materialize(sets(docs, width, percent, id_column, text))
     full = base.where(F.col("n_shingles") > 0)
     reps = full.groupBy("set_id").agg(F.min(id_column).alias("rep"), F.first("n_shingles").alias("n"), F.first("parity").alias("parity"))
@@ -414,7 +415,7 @@ def _between(rows: DataFrame, reps: DataFrame, known: DataFrame, percent: int, c
 def _across(rows: list[tuple], percent: int, closest: bool = False):
     """Pairs of different components among rows that the parity rows do not rule out.
 
-    With ``closest`` only one for each two components, that of the least distance of parity rows.
+    With ``closest`` only the nearest by parity rows of each of the rows.
     """
     if len(rows) < 2:
         return
@@ -423,7 +424,7 @@ def _across(rows: list[tuple], percent: int, closest: bool = False):
         return
     size = min(len(r[4]) for r in rows)
     marks = folded([r[4] for r in rows], size)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    nearest, least = np.full(len(rows), -1), np.full(len(rows), np.iinfo(np.int64).max)
     # Two blocks: pairs between them; one block with itself: each pair once.
     for k in range(len(rows) - 1):
         other = slice(k + 1, None)
@@ -434,15 +435,16 @@ def _across(rows: list[tuple], percent: int, closest: bool = False):
             keep &= block[other] != block[k]
         if not keep.any():
             continue
-        b = rep[other][keep]
         if not closest:
+            b = rep[other][keep]
             yield np.full(len(b), rep[k]), b
             continue
-        there, gaps = component[other][keep], distance[keep]
-        order = np.argsort(gaps, kind="stable")
-        for c, first in zip(*np.unique(there[order], return_index=True), strict=True):
-            at, own = order[first], int(component[k])
-            both = (min(own, int(c)), max(own, int(c)))
-            best[both] = min(best.get(both, (int(gaps[at]) + 1, 0, 0)), (int(gaps[at]), int(rep[k]), int(b[at])))
-    if best:
-        yield [a for _, a, _ in best.values()], [b for _, _, b in best.values()]
+        distance[~keep] = np.iinfo(np.int64).max
+        at = int(distance.argmin())
+        if distance[at] < least[k]:
+            nearest[k], least[k] = k + 1 + at, distance[at]
+        nearer = np.flatnonzero(distance < least[other]) + k + 1
+        nearest[nearer], least[nearer] = k, distance[nearer - k - 1]
+    found = np.flatnonzero(nearest >= 0)
+    if len(found):
+        yield rep[found], rep[nearest[found]]

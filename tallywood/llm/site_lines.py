@@ -110,7 +110,8 @@ def once_for_a_group(
     """
     held = F.array_intersect(_lines(F.col(text)), F.col("__lines"))
     pages = _with_lists(pages.select(site, text), known, site, text).withColumn("__lines", held)
-    holding = grouped(pages.where(F.size("__lines") > 0).select("__site", "__lines", F.col(text).alias("text")))
+    holding = pages.where(F.size("__lines") > 0).select("__site", "__lines", F.col(text).alias("text"))
+    holding = grouped(materialize(holding))
     # A group may hold a third of all pages: it is combined within tasks before each shuffle.
     each = holding.select("__site", F.explode("__lines").alias("key"), "__group").distinct()
     counts = each.groupBy("__site", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
