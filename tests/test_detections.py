@@ -73,7 +73,7 @@ def test_replacing_a_table(spark, results, tmp_path):
     path = str(tmp_path / "stats")
     tables.replace_table(plans.per_minute(results), path)
     tables.replace_table(plans.per_minute(results.where("camera_id = 'c2'")), path)
-    assert spark.read.parquet(path).count() == 1
+    assert tables.read_replaced(spark, path).count() == 1
 
 
 def test_messages_carry_the_camera_as_key(results):

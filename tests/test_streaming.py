@@ -51,7 +51,7 @@ def test_late_results_count_and_equal_the_batch(spark, tmp_path, landing):
     landing([result("c", 99, 9, 1704060000.0), result("d", 0, 1, 1704067200.0)])
     run(streams.replace_stats(streams.minute_stats(sources.result_stream(spark, path)), out, checkpoint))
     batch = plans.per_minute(sources.read_json(spark, path, "camera_id string, frame_id int, person_count int, processed_timestamp double"))
-    assert sorted(rows(spark.read.parquet(out))) == sorted(rows(batch))
+    assert sorted(rows(tables.read_replaced(spark, out))) == sorted(rows(batch))
 
 
 def test_append_mode_emits_closed_minutes(spark, tmp_path, landing):

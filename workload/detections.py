@@ -18,7 +18,9 @@ from tallywood.functions.documents import (
 from tallywood.plans import detections as plans
 from tallywood.session import fresh_dir
 from tallywood.sinks import tables
+from tallywood.sinks.records import write_record
 from tallywood.sources import detections as sources
+from tallywood.streaming import minutes
 from tallywood.streaming import results as streams
 from tallywood.streaming.detect import detect_frames
 from workload import views
@@ -150,7 +152,45 @@ def replaced_stats(spark, d):
     path = fresh_dir(spark, "stats")
     for _ in range(2):
         tables.replace_table(stats_minute(spark, d), path)
-    return spark.read.parquet(path)
+    return tables.read_replaced(spark, path)
+
+
+def minute_table(spark, d):
+    """The per-minute table kept up by batches: on time, late, and on time once more."""
+    path = fresh_dir(spark, "minutes")
+    found = views.results(spark, d)
+    late = F.pmod(F.col("frame_id"), F.lit(7)) == 0
+    for number, batch in ((0, found.where(~late)), (1, found.where(late)), (0, found.where(~late)), (1, found.where(late))):
+        minutes.merge_batch(batch, path, "results", number)
+    return minutes.read_minutes(spark, path)
+
+
+def stream_minute_table(spark, d):
+    """The same from a stream that takes some files at a time and starts again at its end."""
+    path, landing, checkpoint = fresh_dir(spark, "minutes"), _result_folder(spark, d), _checkpoint(spark)
+    for _ in range(2):
+        arriving = sources.result_stream(spark, landing, files_per_trigger=4)
+        minutes.keep_minutes(arriving, path, checkpoint).awaitTermination()
+    return minutes.read_minutes(spark, path)
+
+
+def newest_of_store(spark, d):
+    """The newest results of a table that is stored by the days of its events."""
+    path = fresh_dir(spark, "days")
+    tables.store_stamped(tables.without_image(views.results(spark, d)), path, "events")
+    return tables.newest_stored(spark, path, plans.LISTED, (*sources.ANALYSIS_FIELDS, tables.STORED_AT))
+
+
+def stored_on_two_days(spark, d):
+    """A part that is written on one day and again on the next is there once."""
+    path = fresh_dir(spark, "retried")
+    found = views.results(spark, d).drop("stored_at")
+    write_record(spark, f"{path}/_parts/batch-0", "1704067199.5")
+    for part in ("batch-0", "batch-1", "batch-0"):
+        chosen = found.where((F.col("frame_id") % 2 == 0) if part == "batch-0" else (F.col("frame_id") % 2 == 1))
+        tables.store_results(chosen, path, part)
+    stored = sources.read_results(spark, path, (*sources.ANALYSIS_FIELDS, tables.STORED_AT))
+    return stored.withColumn("early", F.col(tables.STORED_AT) == 1704067199.5).drop(tables.STORED_AT)
 
 
 def stored_batch(spark, d):
@@ -197,7 +237,7 @@ def stream_minute_stats(spark, d):
     path = fresh_dir(spark, "minutes")
     arriving = sources.result_stream(spark, _result_folder(spark, d))
     streams.replace_stats(streams.minute_stats(arriving), path, _checkpoint(spark)).awaitTermination()
-    return spark.read.parquet(path)
+    return tables.read_replaced(spark, path)
 
 
 def stream_detect(spark, d):
@@ -253,6 +293,11 @@ QUERIES = {
         "ORDER BY ts DESC, event_type, event_id DESC LIMIT 1"),
     "export_latest": (export_latest, f"SELECT * FROM {RESULTS_SQL} {NEWEST_SQL} LIMIT 500"),
     "stats_table_replaced": (replaced_stats, MINUTE_SQL),
+    "minute_table_kept": (minute_table, MINUTE_SQL),
+    "stream_minute_table": (stream_minute_table, MINUTE_SQL),
+    "latest_of_store": (newest_of_store, f"SELECT * FROM {RESULTS_SQL} {NEWEST_SQL} LIMIT 20"),
+    "results_retried_next_day": (
+        stored_on_two_days, f"SELECT {FIELDS_SQL}, frame_id % 2 = 0 AS early FROM {RESULTS_SQL}"),
     "results_appended": (stored_batch, f"SELECT {FIELDS_SQL} FROM {RESULTS_SQL}"),
     "documents_published_inferred": (
         published_inferred,
