@@ -7,14 +7,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallywood.functions.bands import delivery_status
 from tallywood.functions.dates import day_difference, in_year
 from tallywood.functions.numbers import exact
 from tallywood.operators.aggregates import distinct_total
+from tallywood.operators.distinct import distinct_counts, distinct_parts
 from tallywood.operators.joins import lookup_join
 from tallywood.operators.quality import histogram, quality_split, valid_rows, with_int_score
-from tallywood.operators.ranking import global_dense_rank
+from tallywood.operators.ranking import dense_ranks_of, global_dense_rank
 from tallywood.session import materialize
 
 # The range of a valid score and the length of the seller report.
@@ -52,6 +54,18 @@ def orders_by_month(orders: DataFrame) -> DataFrame:
     return counts.orderBy("year", "month")
 
 
+def daily_order_parts(orders: DataFrame) -> DataFrame:
+    """``day, bucket, bitmap``: the orders of each day, to be kept and merged with later batches."""
+    days = orders.select(F.to_date("order_purchase_timestamp").alias("day"), "order_id")
+    return distinct_parts(days, ["day"], "order_id")
+
+
+def by_month_of_parts(parts: DataFrame) -> DataFrame:
+    """``year, month, n_orders`` from stored days; an order that several batches bring counts once."""
+    months = parts.withColumns({"year": F.year("day"), "month": F.month("day")})
+    return distinct_counts(months, ["year", "month"], "n_orders").orderBy("year", F.desc("month"))
+
+
 def score_quality(
     reviews: DataFrame, low: int = LOWEST_SCORE, high: int = HIGHEST_SCORE
 ) -> DataFrame:
@@ -140,4 +154,15 @@ def seller_ranking(items: DataFrame) -> DataFrame:
 
 
 def top_sellers(items: DataFrame, n: int = TOP_SELLERS) -> DataFrame:
-    return seller_ranking(items).limit(n)
+    """The first ``n`` rows of ``seller_ranking``, without ranking the others.
+
+    The ``n`` rows come to the driver; their ranks need counts of distinct higher values only.
+    """
+    sellers = materialize(seller_totals(items))
+    first = sellers.orderBy(F.desc("revenue"), "seller_id").limit(n).collect()
+    revenue = dense_ranks_of(sellers, "revenue", [r["revenue"] for r in first])
+    orders = dense_ranks_of(sellers, "n_orders", [r["n_orders"] for r in first])
+    rows = [(*r, revenue[r["revenue"]], orders[r["n_orders"]]) for r in first]
+    ranks = StructType([StructField(name, LongType()) for name in ("revenue_rank", "orders_rank")])
+    ranked = items.sparkSession.createDataFrame(rows, StructType([*sellers.schema, *ranks]))
+    return ranked.orderBy(F.desc("revenue"), "seller_id")

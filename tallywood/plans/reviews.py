@@ -65,6 +65,18 @@ def _chosen(sentiment: str | None) -> Column:
     return F.coalesce(F.col("sentiment") == sentiment, F.lit(False))
 
 
+def _review_counts(reviews: DataFrame, sentiment: str | None) -> DataFrame:
+    """``id, category, n_review``: reviews of an id and category, those without a category as 0."""
+    chosen = reviews.where(F.col("id").isNotNull() & _chosen(sentiment))
+    return chosen.groupBy("id", "category").agg(F.count("category").alias("n_review"))
+
+
+def _summed(words: DataFrame, stop_words: DataFrame | None) -> DataFrame:
+    """``category, word, freq``; stop words are removed after counting, from one row per word."""
+    counts = words.groupBy("category", "word").agg(F.sum("n").alias("freq"))
+    return counts if stop_words is None else without_stop_words(counts, stop_words)
+
+
 def category_word_counts(
     tokens: DataFrame,
     reviews: DataFrame,
@@ -73,26 +85,28 @@ def category_word_counts(
 ) -> DataFrame:
     """``category, word, freq`` over all pairs of a token and a review with the same id.
 
-    The pairs are never made: tokens are counted per id and word and reviews per id and category,
-    and the counts are multiplied where they meet. Both sides are combined within tasks before
-    they are shuffled by id, and an id with many words is split by the join. With a sentiment
-    only the reviews of that sentiment give categories. Reviews without a category have the
-    frequency 0.
+    The pairs are never made: reviews are counted per id and category, and a token meets each
+    category of its id once, with that count. An id with many tokens is split by the join, and
+    words are combined within tasks before they are shuffled. With a sentiment only the reviews of
+    that sentiment give categories. Reviews without a category have the frequency 0.
     """
-    word_counts = tokens.where(F.col("id").isNotNull()).groupBy("id", "word").agg(F.count("*").alias("n_word"))
-    if stop_words is not None:
-        word_counts = without_stop_words(word_counts, stop_words)
-    chosen = reviews.where(F.col("id").isNotNull() & _chosen(sentiment))
-    review_counts = chosen.groupBy("id", "category").agg(F.count("category").alias("n_review"))
-    freq = F.sum(F.col("n_word") * F.col("n_review"))
-    return word_counts.join(review_counts, "id").groupBy("category", "word").agg(freq.alias("freq"))
+    met = tokens.join(_review_counts(reviews, sentiment), "id")
+    return _summed(met.select("category", "word", F.col("n_review").alias("n")), stop_words)
 
 
 def review_word_counts(
     reviews: DataFrame, sentiment: str | None = None, stop_words: DataFrame | None = None
 ) -> DataFrame:
-    """The same counts for the words of the reviews themselves."""
-    return category_word_counts(tokens(reviews), reviews, sentiment, stop_words)
+    """The same counts for the words of the reviews themselves.
+
+    A review meets the counts of its id as one row with its text, and its words are taken out
+    after that and combined within the task, so nothing with a row per word or per id and word is
+    shuffled but one row per task, category and word.
+    """
+    texts = reviews.where(F.col("id").isNotNull()).select("id", "review")
+    met = texts.join(_review_counts(reviews, sentiment), "id")
+    exploded = met.select("category", F.col("n_review").alias("n"), F.explode(words(clean(F.col("review")))).alias("word"))
+    return _summed(exploded.where(F.col("word") != ""), stop_words)
 
 
 def _nested(counts: DataFrame, n: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywood.operators import quality
 from tallywood.plans import orders as plans
+from tallywood.session import fresh_dir
 from tallywood.sources.orders import schema_report
 from workload import views
 from workload.sql import half_up
@@ -89,6 +90,15 @@ def delivery_status(spark, d):
     return plans.delivery_by_status(views.orders(spark, d), views.order_items(spark, d))
 
 
+def by_month_merged(spark, d):
+    """Months from the stored days of two batches that share a third of the orders."""
+    path, rows = fresh_dir(spark, "days"), views.orders(spark, d)
+    for left_out in (0, 1):
+        batch = rows.where(F.pmod(F.col("order_id"), F.lit(3)) != left_out)
+        plans.daily_order_parts(batch).write.mode("append").parquet(path)
+    return plans.by_month_of_parts(spark.read.parquet(path))
+
+
 def seller_ranking(spark, d):
     return plans.seller_ranking(views.order_items(spark, d))
 
@@ -118,6 +128,10 @@ GROUP BY n.n_name"""),
     "orders_by_year_month": (
         by_month,
         """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  count(DISTINCT o_orderkey) AS n_orders FROM orders GROUP BY 1, 2"""),
+    "orders_by_month_merged": (
+        by_month_merged,
+        """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
   count(DISTINCT o_orderkey) AS n_orders FROM orders GROUP BY 1, 2"""),
     "score_quality_split": (
         score_split,

@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return apply_settings(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small file, which comes in one piece, dealt out over the tasks of the session."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+
+
 def epoch(moment):
     """Epoch seconds with microseconds."""
     return F.unix_micros(moment.cast("timestamp")) / 1_000_000
@@ -71,10 +77,10 @@ def codes(spark, sf_dir) -> DataFrame:
 
 
 def reviews(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("review"),
         F.col("lang").alias("category"), F.col("source").alias("aspect"),
-    )
+    ))
 
 
 def labelled_reviews(spark, sf_dir) -> DataFrame:
