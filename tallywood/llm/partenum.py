@@ -328,9 +328,8 @@ def similarity_components(
        pair fails, then the exact one. This links copies of one text in as many comparisons as
        there are copies.
     3. Groups that still hold several components are compared in blocks, across components only.
-       First each set goes on with the one of another component that parity rows show to be
-       nearest, then, where components are still apart, all pairs that parity rows do not rule
-       out. So no link between components is lost and no pairs within one are made.
+       Parity rows rule most pairs out and the others are compared exactly, so no link between
+       components is lost and no pairs within one are made.
     """
     small_batches(docs.sparkSession)
     base = materialize(sets(docs, width, percent, id_column, text))
@@ -369,11 +368,8 @@ def similarity_components(
 
     near = map_rows(near, ["a", "b", "m", "n", "other", "parity"], close, "a long, b long")
     links = materialize(verified(near, docs, width, percent, id_column, text))
-    known = components(links)
-    for closest in (True, False):
-        pairs = _between(rows, reps, known, percent, closest)
-        links = materialize(links.unionByName(verified(pairs, docs, width, percent, id_column, text)))
-        known = components(links)
+    rest = _between(rows, reps, components(links), percent)
+    known = components(links.unionByName(verified(rest, docs, width, percent, id_column, text)))
 
     out = base.join(reps.select("set_id", "rep"), "set_id", "left")
     out = out.join(known.withColumnRenamed("node", "rep"), "rep", "left")
@@ -383,7 +379,7 @@ def similarity_components(
     )
 
 
-def _between(rows: DataFrame, reps: DataFrame, known: DataFrame, percent: int, closest: bool) -> DataFrame:
+def _between(rows: DataFrame, reps: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """``a, b``: pairs across components in the groups that hold several, as step 3 needs them."""
     label = F.coalesce("component", "rep").alias("component")
     marked = rows.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "members", "rep", label)
@@ -403,20 +399,17 @@ def _between(rows: DataFrame, reps: DataFrame, known: DataFrame, percent: int, c
             keys = list(zip(sig.to_pylist(), i.to_pylist(), j.to_pylist(), strict=True))
             for own_key, row in zip(keys, zip(*(c.to_pylist() for c in columns), strict=True), strict=True):
                 if own_key != key:
-                    yield from _across(held, percent, closest)
+                    yield from _across(held, percent)
                     key, held = own_key, []
                 held.append(row)
-        yield from _across(held, percent, closest)
+        yield from _across(held, percent)
 
     dealt = dealt.repartition(partitions(rows.sparkSession), "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return map_rows(dealt, ["sig", "i", "j", "block", "rep", "n", "component", "parity"], across, "a long, b long")
 
 
-def _across(rows: list[tuple], percent: int, closest: bool = False):
-    """Pairs of different components among rows that the parity rows do not rule out.
-
-    With ``closest`` only the nearest by parity rows of each of the rows.
-    """
+def _across(rows: list[tuple], percent: int):
+    """Pairs of different components among rows that the parity rows do not rule out."""
     if len(rows) < 2:
         return
     block, rep, n, component = (np.array([r[k] for r in rows], np.int64) for k in range(4))
@@ -424,7 +417,6 @@ def _across(rows: list[tuple], percent: int, closest: bool = False):
         return
     size = min(len(r[4]) for r in rows)
     marks = folded([r[4] for r in rows], size)
-    nearest, least = np.full(len(rows), -1), np.full(len(rows), np.iinfo(np.int64).max)
     # Two blocks: pairs between them; one block with itself: each pair once.
     for k in range(len(rows) - 1):
         other = slice(k + 1, None)
@@ -433,18 +425,6 @@ def _across(rows: list[tuple], percent: int, closest: bool = False):
         keep &= (100 * n[other] >= percent * n[k]) & (100 * n[k] >= percent * n[other])
         if block[0] != block[-1] or (block != block[0]).any():
             keep &= block[other] != block[k]
-        if not keep.any():
-            continue
-        if not closest:
+        if keep.any():
             b = rep[other][keep]
             yield np.full(len(b), rep[k]), b
-            continue
-        distance[~keep] = np.iinfo(np.int64).max
-        at = int(distance.argmin())
-        if distance[at] < least[k]:
-            nearest[k], least[k] = k + 1 + at, distance[at]
-        nearer = np.flatnonzero(distance < least[other]) + k + 1
-        nearest[nearer], least[nearer] = k, distance[nearer - k - 1]
-    found = np.flatnonzero(nearest >= 0)
-    if len(found):
-        yield rep[found], rep[nearest[found]]
