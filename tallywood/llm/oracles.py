@@ -63,7 +63,7 @@ def _replaced(text: str) -> str:
 
 
 _PAGE = (
-    f"regexp_replace(regexp_replace(regexp_replace(html, '{site_lines.HIDDEN}', chr(10), 'g'), "
+    f"regexp_replace(regexp_replace(regexp_replace(html || '{site_lines.CLOSERS}', '{site_lines.HIDDEN}', chr(10), 'g'), "
     f"'{site_lines.INLINE}', '', 'g'), '{site_lines.TAG}', chr(10), 'g')"
 )
 _BLANK = "trim(l, ' ' || chr(9) || chr(13))"

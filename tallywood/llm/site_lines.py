@@ -13,11 +13,11 @@ from tallywood.llm.common import materialize, partitions
 RATIO = 0.1
 LEAST_PAGES = 3
 
-# Elements without text of the page, and those that do not end a line. What is not
-# closed ends with the page, and a tag ends where another begins, so that no sign is read twice.
-HIDDEN = (
-    r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z)|style\b.*?(?:</style\s*>|\z)|title\b.*?(?:</title\s*>|\z))"
-)
+# Elements without text of the page, and those that do not end a line. A tag ends
+# where another begins, and what a page leaves open is closed behind its end, so that every pattern
+# reads a sign once.
+HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|title\b.*?</title\s*>)"
+CLOSERS = "</script></style></title><!---->"
 INLINE = r"(?i)</?(?:a|b|i|u|em|strong|span|code|small|sub|sup)(?:\s[^<>]*)?>"
 TAG = r"<[^<>]*>"
 BLANKS = " \t\r\f"
@@ -36,7 +36,7 @@ def page_text(html: Column) -> Column:
     A comment, script, style or title that is not closed hides the rest of the page; a ``<``
     without a ``>`` before the next ``<`` is text. Each pattern passes over a page once.
     """
-    text = F.regexp_replace(html, HIDDEN, "\n")
+    text = F.regexp_replace(F.concat(html, F.lit(CLOSERS)), HIDDEN, "\n")
     text = F.regexp_replace(F.regexp_replace(text, INLINE, ""), TAG, "\n")
     for entity, sign in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(sign))
@@ -137,7 +137,7 @@ def drop_boilerplate(
     both = _with_lists(pages, known, site, text).withColumn("__all", F.split(text, "\n"))
     # The few lines of the page that are on the list, found at once however long it is.
     held = both.withColumn("__held", F.array_intersect(F.transform("__all", _key), F.col("__lines")))
-    is_kept = F.when(F.col("__lines").isNull(), F.col("__all")).otherwise(
+    is_kept = F.when(F.col("__lines").isNull() | (F.size("__held") == 0), F.col("__all")).otherwise(
         F.filter("__all", lambda line: ~F.array_contains("__held", _key(line)))
     )
     both = held.withColumn("__kept", is_kept)
