@@ -7,10 +7,10 @@ language, so single foreign words stay within a span and longer passages get one
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ SCRIPTS = [
     ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x4DBF), ("han", 0x4E00, 0x9FFF),
     ("hangul", 0x1100, 0x11FF), ("hangul", 0xAC00, 0xD7AF),
 ]
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 _STARTS = np.array([start for _, start, _ in sorted(SCRIPTS, key=lambda s: s[1])])
 _ENDS = np.array([end for _, _, end in sorted(SCRIPTS, key=lambda s: s[1])])
 _NAMES = sorted({name for name, _, _ in SCRIPTS})
@@ -135,7 +135,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
     starts, longest = starts[order], int(sizes.max(initial=0))
     alive = len(sizes) - np.searchsorted(np.sort(sizes), np.arange(longest), "right")
     width = scores.shape[1]
-    came = np.tile(np.arange(width, dtype=np.int8), (len(scores), 1))
+    came = np.tile(np.arange(width, dtype=np.min_scalar_type(max(width - 1, 0))), (len(scores), 1))
     best = np.zeros((len(sizes), width))
     final = np.zeros(len(sizes), np.int64)
     for t in range(longest):
