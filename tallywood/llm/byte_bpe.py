@@ -187,8 +187,8 @@ class ManyWords:
     """The same computation for many short words at once, one array operation per byte.
 
     Row by row it fills the same table of last tokens as ``PrefixBpe``. Tokens are found by the
-    hash of a substring (equal 64-bit hashes count as equal), verdicts on pairs are kept in a
-    table that each new pair may overwrite.
+    hash of a substring, and a word whose tokens do not spell it is encoded anew without hashes;
+    verdicts on pairs are kept in a table that each new pair may overwrite.
     """
 
     WIDEST = 48
@@ -278,7 +278,8 @@ class ManyWords:
         for at in range(0, len(order), step):
             rows = order[at:at + step]
             for row, tokens in zip(rows.tolist(), self._encode([words[r] for r in rows], sizes[rows]), strict=True):
-                found[row] = tokens
+                spelled = self.bpe.decode(tokens) == words[row]
+                found[row] = tokens if spelled else self.bpe.encode_piece(words[row])
         return found
 
     def _encode(self, words: list[bytes], sizes: np.ndarray) -> list[list[int]]:
