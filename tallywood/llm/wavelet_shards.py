@@ -20,7 +20,7 @@ import os
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,6 +33,8 @@ MAGIC = b"WVM1"
 BLOCK = 512
 # A segment ends with the document that brings it to so many tokens.
 SEGMENT = 1 << 18
+# Strings that are handed to the tokenizer as one.
+RUN = 256
 
 
 class WaveletMatrix:
@@ -166,6 +168,35 @@ def unpack(blob: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
     return WaveletMatrix(rows, ranks, zeros, size), doc_ids, starts
 
 
+def _in_runs(encode: Callable[[list[str]], list[bytes]], widths: np.ndarray, kind: type) -> Callable:
+    """``encode`` for many short strings: those with a space in front are encoded in runs.
+
+    Where every piece of a byte-level tokenizer begins at such a space, the ids of a run are those
+    of its strings one behind the other, and ``widths``, the bytes of each token, tell where a
+    string ends. A run in which a border falls into a token is encoded string by string.
+    """
+
+    def ids(strings: list[str]) -> list[bytes]:
+        found: list[bytes | None] = [None] * len(strings)
+        spaced = [i for i, s in enumerate(strings) if s[:1] == " "]
+        runs = [spaced[at:at + RUN] for at in range(0, len(spaced), RUN)]
+        encoded = encode(["".join(map(strings.__getitem__, run)) for run in runs])
+        for run, raw in zip(runs, encoded, strict=True):
+            bytes_ = np.cumsum([len(strings[i].encode()) for i in run])
+            ends = np.cumsum(widths[np.frombuffer(raw, kind)])
+            cut = np.searchsorted(ends, bytes_)
+            if len(ends) and ends[-1] == bytes_[-1] and np.array_equal(ends[cut], bytes_):
+                places, start = ((cut + 1) * kind().itemsize).tolist(), 0
+                for i, end in zip(run, places, strict=True):
+                    found[i], start = raw[start:end], end
+        rest = [i for i, value in enumerate(found) if value is None]
+        for i, raw in zip(rest, encode([strings[i] for i in rest]), strict=True):
+            found[i] = raw
+        return found
+
+    return ids
+
+
 _OPEN: dict[tuple, tuple] = {}
 
 
@@ -185,6 +216,10 @@ def _encoder(name: str, shared, split_special: bool) -> tuple[WordMemory, int]:
             found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
             return [array(code, e.ids).tobytes() for e in found]
 
+        vocabulary = tokenizer.get_vocab()
+        widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        widths[list(vocabulary.values())] = list(map(len, vocabulary))
+        encode = _in_runs(encode, widths, np.uint16 if planes <= 16 else np.uint32)
         _OPEN[key] = WordMemory(encode), planes
     return _OPEN[key]
 
@@ -198,14 +233,15 @@ def write_shards(
     A null text counts as empty and has the end id alone. Rows are cut into ranges of their ids,
     rows without an id come first with id 0 in their place; rows of one id are in order of their
     texts. Special tokens written out in a text get their ids, as the library has it by default;
-    with ``split_special`` they are encoded as ordinary text. A range is sorted and encoded as a stream, so that a task holds one segment.
+    with ``split_special`` they are encoded as ordinary text. Each range has a task of its own, is
+    sorted and encoded as a stream, so that a task holds one segment.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         shared = spark.sparkContext.broadcast(file.read())  # the size of the file
     ranges = partitions(spark)
     rows = with_range(docs.select(id_column, text), id_column, ranges)
-    rows = rows.repartition(ranges, "__range").sortWithinPartitions(
+    rows = rows.repartitionById(ranges, F.col("__range")).sortWithinPartitions(
         "__range", F.asc_nulls_first(id_column), F.asc_nulls_first(text)
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 
 class _Codes(dict):
@@ -26,7 +27,8 @@ class WordMemory:
     every space between two visible characters, as the usual byte-level patterns do; then the
     values of the parts, each with the space before it, make up that of the text. A text in which
     other white space meets such a space is encoded as a whole. Texts are taken in slices of
-    bounded size; a memory of more than ``remembered`` parts keeps those of its last slice.
+    bounded size; a memory of more than ``remembered`` parts keeps those that several slices since
+    the last time have had, if they are fewer than half, else those of its last slice.
     """
 
     SLICE = 2_000_000
@@ -35,6 +37,7 @@ class WordMemory:
     def __init__(self, encode: Callable[[list[str]], list], remembered: int = 400_000):
         self.encode, self.remembered = encode, remembered
         self.codes, self.known = _Codes({}, 0), []
+        self.again: set[int] = set()
 
     def values(self, texts: list[str | None]) -> Iterator[list]:
         """Of each text the values of its parts, in order; none for null and empty texts."""
@@ -48,22 +51,26 @@ class WordMemory:
             at = end
 
     def _values(self, texts: list[str | None]) -> Iterator[list]:
-        cut = []
+        cut, before = [], len(self.known)
         for text in texts:
             parts = text.split(" ") if text else []
             if parts:
                 parts[0] = " " + parts[0]  # a key that no later part can have
             cut.append(list(map(self.codes.__getitem__, parts)))
         new, self.codes.new = self.codes.new, []
-        sound = [part for part in new if self._sound(part)]
-        found = iter(self.encode([part[1:] if part[0] == " " else " " + part for part in sound]))
-        sound = set(sound)
-        self.known.extend(next(found) if part in sound else None for part in new)
+        places = [place for place, part in enumerate(new, before) if self._sound(part)]
+        strings = [part[1:] if part[0] == " " else " " + part for part in map(new.__getitem__, (p - before for p in places))]
+        self.known.extend([None] * len(new))
+        for place, value in zip(places, self.encode(strings), strict=True):
+            self.known[place] = value
         for text, codes in zip(texts, cut, strict=True):
             parts = list(map(self.known.__getitem__, codes))
             yield self.encode([text]) if None in parts else parts
+        seen = set(chain.from_iterable(cut))
+        self.again.update(code for code in seen if code < before)
         if len(self.known) > self.remembered:
-            self._keep({code for codes in cut for code in codes})
+            self._keep(self.again if len(self.again) < self.remembered // 2 else seen)
+            self.again = set()
         for part in new:
             if len(part) > self.LONGEST:
                 self.codes.pop(part, None)
