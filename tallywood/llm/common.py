@@ -41,6 +41,10 @@ def map_rows(
         for out in work(tuple(batch.columns) for batch in batches):
             arrays = [_array(values, kind) for values, kind in zip(out, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        # The worker goes on to other tasks; what this one has freed goes back to the machine.
+        out = arrays = None
+        pa.default_memory_pool().release_unused()
+        pa.system_memory_pool().release_unused()
 
     return df.select(*columns).mapInArrow(run, schema)
 
