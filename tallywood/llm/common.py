@@ -34,6 +34,7 @@ def map_rows(
     learned from one batch for the next one of its task, and yields columns as Arrow arrays,
     numpy arrays or lists in the order of ``schema``.
     """
+    small_batches(df.sparkSession)
     fields = df.sparkSession.createDataFrame([], schema).schema
     names, types = fields.fieldNames(), [to_arrow_type(f.dataType) for f in fields]
 
@@ -71,14 +72,16 @@ def slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[list[str | None]]
         yield part
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """At most so many rows move to Python at once, also in a session that allows more.
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+    """At most so many rows and bytes move to Python at once, also in a session that allows more.
 
     Rows may be texts or sets of any length, and a task holds a batch several times.
     """
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(setting)) <= rows:
-        spark.conf.set(setting, str(rows))
+    for setting, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        setting = f"spark.sql.execution.arrow.{setting}"
+        known = spark.conf.get(setting).rstrip("bB")
+        if not (known.lstrip("-").isdigit() and 0 < int(known) <= most):
+            spark.conf.set(setting, str(most))
 
 
 def partitions(spark: SparkSession) -> int:
