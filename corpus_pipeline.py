@@ -26,6 +26,8 @@ WIDTH, PERCENT = 5, 80
 LINE_RATIO = 0.002
 # A document goes if the language found for it explains less of its letters than this.
 LEAST_SCORE = 0.3
+# Items of the benchmark with fewer words are no passages: documents hold these by chance.
+LEAST_ITEM = 4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,9 +90,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark; a row goes for its own text only."""
+    """Documents that hold no passage of the benchmark; a row goes for its own text only.
+
+    Items of fewer than ``LEAST_ITEM`` words are left out.
+    """
     rows = rows_of(docs)
-    return without(rows, contaminated(rows, read_table(spark, sf_dir, "benchmark"), "__row"), "__row").select(*docs.columns)
+    found = contaminated(rows, read_table(spark, sf_dir, "benchmark"), "__row", least_item=LEAST_ITEM)
+    return without(rows, found, "__row").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 
 from tallywood.llm.common import materialize
 
-# Selected positions of a window. Each mask ignores others than the next one.
-MASKS = ("110110111", "101101101011")
-# Every fourth word of a passage may differ: of any ten equal words of it such a window is a part.
-FOURTHS = ("10111011101",)
+# Selected positions of a window. Every passage as defined below holds a window that fits one of
+# these masks: of all orders of equal and different words that make ten equal ones, none is missed.
+MASKS = ("11101101", "11110001001", "11101000101")
 # A stretch counts one for an equal word and loses so much for a different one.
 SUBSTITUTION = 2
 # Equal words that make a passage; items with fewer words must agree as a whole.
 LEAST_WORDS = 10
+# Alignments that are read from one copy of the words of a document.
+ALIGNMENTS = 4096
 
 
 def word_hashes(text: Column) -> Column:
@@ -48,7 +49,7 @@ def _seeds(rows: DataFrame, key: str, masks: tuple[str, ...], whole: tuple[int,
     return rows.select(key, "at", F.inline(F.array(*seeds))).where("seed IS NOT NULL")
 
 
-def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS + FOURTHS) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """``doc, item, shift``: alignments of documents and items that share a seed.
 
     ``docs`` has ``doc`` and ``words``, ``items`` has ``item`` and ``words``. ``shift`` is the
@@ -96,8 +97,8 @@ def _stretch(words: str, item: str, shift: str) -> Column:
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = MASKS + FOURTHS,
-    least_words: int = LEAST_WORDS,
+    item_id: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = MASKS,
+    least_words: int = LEAST_WORDS, least_item: int = 1,
 ) -> DataFrame:
     """``id, item_id, doc_start, item_start, n_words, n_equal, item_words``: one row per document
     and item of which it holds a passage.
@@ -105,20 +106,36 @@ def contaminated(
     A passage is a stretch on one alignment with ``least_words`` equal words, or as many as the
     item has; of several alignments the one with the best score counts, then the first in the
     document. Positions count words from 0. Null texts and texts without words hold and are no
-    passages. Rows that share an id are searched one by one and reported once; a
-    null id is an id like any other.
+    passages, and neither are items with fewer than ``least_item`` words, of which a document may
+    hold any by chance. Rows that share an id are searched one by one and reported once; a null id
+    is an id like any other.
+
+    The words of a document with hits are hashed once more for all of them, and each alignment
+    takes the stretch of them that lies beside its item.
     """
     words = docs.select(F.col(id_column).alias("doc"), word_hashes(F.col(text)).alias("words"))
     items = benchmark.select(F.col(item_id).alias("item"), word_hashes(F.col(item_text)).alias("words")).distinct()
-    items = materialize(items)
+    items = materialize(items.where(F.size("words") >= least_item))
     found = materialize(hits(words, items, masks))
+    sizes = items.groupBy("item").agg(F.max(F.size("words")).alias("most"))
+    copies = found.groupBy("doc").agg(F.ceil(F.count("*") / ALIGNMENTS).alias("copies"))
+    dealt = found.alias("f").join(sizes.alias("s"), F.col("f.item").eqNullSafe(F.col("s.item")))
+    dealt = dealt.join(copies.alias("c"), F.col("f.doc").eqNullSafe(F.col("c.doc"))).select(
+        "f.doc", F.pmod(F.xxhash64("f.item", "shift"), F.col("copies")).alias("copy"), F.struct("f.item", "shift", "most").alias("x")
+    )
+    dealt = dealt.groupBy("doc", "copy").agg(F.collect_list("x").alias("alignments")).alias("f")
     held = docs.select(F.col(id_column).alias("doc"), F.col(text).alias("__text")).alias("d")
-    held = held.join(found.alias("f"), F.col("d.doc").eqNullSafe(F.col("f.doc"))).select("d.doc", "__text", "item", "shift")
-    held = held.withColumn("words", word_hashes(F.col("__text"))).drop("__text").alias("d")
-    both = held.join(items.alias("i"), F.col("d.item").eqNullSafe(F.col("i.item"))).select(
-        "d.doc", "d.item", "shift", "d.words", F.col("i.words").alias("item_words")
+    held = held.join(dealt, F.col("d.doc").eqNullSafe(F.col("f.doc")))
+    # Written, so that the words are not hashed anew for each alignment.
+    held = materialize(held.select("d.doc", word_hashes(F.col("__text")).alias("words"), "alignments"))
+    beside = held.select("doc", F.inline(F.transform("alignments", lambda x: F.struct(
+        x["item"].alias("item"), x["shift"].alias("shift"),
+        F.slice("words", F.greatest(x["shift"], F.lit(0)) + 1, x["most"] + F.least(x["shift"], F.lit(0))).alias("words"),
+    )))).alias("d")
+    both = beside.join(items.alias("i"), F.col("d.item").eqNullSafe(F.col("i.item"))).select(
+        "d.doc", "d.item", "shift", F.least("shift", F.lit(0)).alias("before"), "d.words", F.col("i.words").alias("item_words")
     )
-    both = both.select("doc", "item", "shift", F.size("item_words").cast("long").alias("size"), _stretch("words", "item_words", "shift").alias("best"))
+    both = both.select("doc", "item", "shift", F.size("item_words").cast("long").alias("size"), _stretch("words", "item_words", "before").alias("best"))
     both = both.where(F.col("best.equal") >= F.least(F.lit(least_words).cast("long"), F.col("size")))
     order = F.struct(F.col("best.score"), -(F.col("shift") + F.col("best.first")), -F.col("best.first"))
     best = both.groupBy("doc", "item").agg(F.max_by(F.struct("shift", "best", "size"), order).alias("x"))

@@ -7,23 +7,31 @@ from tallywood.llm import decontamination, lm_difference, site_lines
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
-def _masked(rows: str, key: str) -> str:
-    """The seeds of all windows of a table with ``words``, as texts."""
-    shortest = min(map(len, decontamination.MASKS))
+_SHORTEST = min(map(len, decontamination.MASKS))
+
+
+def _masked(rows: str, key: str, whole: str) -> str:
+    """The seeds of all windows of a table with ``words``, as texts, and those of ``whole``."""
     parts = []
     for number, mask in enumerate(decontamination.MASKS):
         picked = " || ' ' || ".join(f"words[pos + {k + 1}]" for k, use in enumerate(mask) if use == "1")
         parts.append(f"SELECT {key}, pos, {number} AS mask, {picked} AS seed FROM windows_{rows} WHERE pos + {len(mask)} <= len(words)")
-    windows = f"SELECT {key}, words, unnest(range(0, len(words) - {shortest} + 1)) AS pos FROM {rows} WHERE len(words) >= {shortest}"
-    return f"windows_{rows} AS ({windows}), seeds_{rows} AS ({' UNION ALL '.join(parts)})"
+    windows = f"SELECT {key}, words, unnest(range(0, len(words))) AS pos FROM {rows}"
+    return f"windows_{rows} AS ({windows}), seeds_{rows} AS ({' UNION ALL '.join([*parts, whole])})"
+
 
+# Items that are shorter than any mask are looked up as a whole.
+_SHORT_ITEMS = f"SELECT item_id, 0 AS pos, 100 + len(words) AS mask, array_to_string(words, ' ') AS seed FROM items WHERE len(words) BETWEEN 1 AND {_SHORTEST - 1}"
+_AS_SHORT = """SELECT doc_id, pos, 100 + n AS mask, array_to_string(words[pos + 1:pos + n], ' ') AS seed
+  FROM windows_docs JOIN short ON pos + n <= len(words)"""
 
 _WORDS = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
 DECONTAMINATION = f"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
 items AS (SELECT DISTINCT item_id, {_WORDS} AS words FROM benchmark),
-{_masked("docs", "doc_id")}, {_masked("items", "item_id")},
+short AS (SELECT DISTINCT len(words) AS n FROM items WHERE len(words) BETWEEN 1 AND {_SHORTEST - 1}),
+{_masked("docs", "doc_id", _AS_SHORT)}, {_masked("items", "item_id", _SHORT_ITEMS)},
 hits AS (SELECT DISTINCT doc_id, item_id, d.pos - i.pos AS shift FROM seeds_docs d JOIN seeds_items i USING (mask, seed)),
 steps AS (SELECT doc_id, item_id, shift, len(i.words) AS size, unnest(range(0, len(i.words))) AS j,
   d.words AS dw, i.words AS iw FROM hits JOIN docs d USING (doc_id) JOIN items i USING (item_id)),
