@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tallywood.llm.common import map_rows, slices
+from tallywood.llm.common import map_rows
 from tallywood.llm.word_memory import WordMemory
 
 # Words whose tokens a Python worker remembers.
@@ -324,25 +326,25 @@ class TextEncoder:
 
     def __init__(self, bpe: PrefixBpe):
         self.bpe, self.many = bpe, ManyWords(bpe)
-        self.memory = WordMemory(self._ids, REMEMBERED_WORDS)
+        self.memory = WordMemory(self._ids, np.uint32, REMEMBERED_WORDS)
 
-    def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[list[int]]:
         """The ids of each text, one after another."""
-        for values in self.memory.values(texts):
-            yield list(chain.from_iterable(values))
+        for ids in self.memory.ids(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())):
+            yield ids.tolist()
 
-    def _ids(self, strings: list[str]) -> list[tuple[int, ...]]:
+    def _ids(self, strings: list[str]) -> list[bytes]:
         """The ids of strings; their short pieces are encoded together."""
         ranks = self.bpe.ranks
         pieces = [[p.encode() for p in self.bpe.pattern.findall(s)] for s in strings]
         short = list({p for ps in pieces for p in ps if p not in ranks and len(p) <= ManyWords.WIDEST})
-        alone = dict(zip(short, map(tuple, self.many.encode(short)), strict=True))
+        alone = dict(zip(short, self.many.encode(short), strict=True))
         found = []
         for ps in pieces:
             for p in ps:
                 if p not in alone:
-                    alone[p] = tuple(self.bpe.encode_piece(p))
-            found.append(tuple(chain.from_iterable(map(alone.__getitem__, ps))))
+                    alone[p] = self.bpe.encode_piece(p)
+            found.append(array("I", chain.from_iterable(map(alone.__getitem__, ps))).tobytes())
         return found
 
 
@@ -368,7 +370,7 @@ def encode_table(
     def work(batches):
         encoder = _encoder(path, shared, pattern)
         for ids, texts in batches:
-            yield ids, [tokens for part in slices(texts) for tokens in encoder.encode(part)]
+            yield ids, list(encoder.encode(texts))
 
     return map_rows(docs, [id_column, text], work, f"{id_column} long, ids array<bigint>")
 
@@ -389,13 +391,12 @@ def digest_table(
         bpe, decimal = encoder.bpe, {rank: b"%d" % rank for rank in encoder.bpe.token}
         for ids, texts in batches:
             counts, hashes, decoded, same = [], [], [], []
-            pairs = (pair for part in slices(texts) for pair in zip(part, encoder.encode(part), strict=True))
-            for string, tokens in pairs:
+            for string, tokens in zip(texts, encoder.encode(texts), strict=True):
                 back = bpe.decode(tokens)
                 counts.append(len(tokens))
                 hashes.append(hashlib.sha256(b",".join(map(decimal.__getitem__, tokens))).hexdigest())
                 decoded.append(hashlib.sha256(back).hexdigest())
-                same.append(back == (string or "").encode())
+                same.append(back == (string.as_py() or "").encode())
             yield ids, counts, hashes, decoded, same
 
     schema = f"{id_column} long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean"

@@ -23,6 +23,8 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,10 @@ BLOCK = 512
 SEGMENT = 1 << 18
 # Strings that are handed to the tokenizer as one.
 RUN = 256
+# Words whose ids a Python worker remembers, some 30 bytes each.
+REMEMBERED = 1_000_000
+# Bytes of text that are encoded together: a word is looked up once in them.
+TOGETHER = 8_000_000
 
 
 class WaveletMatrix:
@@ -168,28 +174,46 @@ def unpack(blob: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
     return WaveletMatrix(rows, ranks, zeros, size), doc_ids, starts
 
 
-def _in_runs(encode: Callable[[list[str]], list[bytes]], widths: np.ndarray, kind: type) -> Callable:
-    """``encode`` for many short strings: those with a space in front are encoded in runs.
+def _words_in_runs(encode: Callable[[list[str]], list[bytes]], widths: np.ndarray, kind: type) -> Callable:
+    """``encode`` for an Arrow array of words, each with a space in front, which are encoded in runs.
 
     Where every piece of a byte-level tokenizer begins at such a space, the ids of a run are those
-    of its strings one behind the other, and ``widths``, the bytes of each token, tell where a
-    string ends. A run in which a border falls into a token is encoded string by string.
+    of its words one behind the other, and ``widths``, the bytes of each token, tell where a word
+    ends. A run in which a border falls into a token is encoded word by word.
     """
 
-    def ids(strings: list[str]) -> list[bytes]:
-        found: list[bytes | None] = [None] * len(strings)
-        spaced = [i for i, s in enumerate(strings) if s[:1] == " "]
-        runs = [spaced[at:at + RUN] for at in range(0, len(spaced), RUN)]
-        encoded = encode(["".join(map(strings.__getitem__, run)) for run in runs])
-        for run, raw in zip(runs, encoded, strict=True):
-            bytes_ = np.cumsum([len(strings[i].encode()) for i in run])
-            ends = np.cumsum(widths[np.frombuffer(raw, kind)])
+    def ids(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        starts = [*range(0, len(words), RUN), len(words)]
+        runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words), " ")
+        found, counts = [np.zeros(0, kind)], np.zeros(len(words), np.int64)
+        for start, end, raw in zip(starts, starts[1:], encode([" " + run for run in runs.to_pylist()])):
+            own, bytes_ = np.frombuffer(raw, kind), np.cumsum(sizes[start:end])
+            ends = np.cumsum(widths[own])
             cut = np.searchsorted(ends, bytes_)
             if len(ends) and ends[-1] == bytes_[-1] and np.array_equal(ends[cut], bytes_):
-                places, start = ((cut + 1) * kind().itemsize).tolist(), 0
-                for i, end in zip(run, places, strict=True):
-                    found[i], start = raw[start:end], end
-        rest = [i for i, value in enumerate(found) if value is None]
+                counts[start:end] = np.diff(cut, prepend=-1)
+                found.append(own)
+            else:
+                alone = [np.frombuffer(r, kind) for r in encode([" " + w for w in words[start:end].to_pylist()])]
+                counts[start:end] = list(map(len, alone))
+                found += alone
+        return np.concatenate(found), counts
+
+    return ids
+
+
+def _in_runs(encode: Callable[[list[str]], list[bytes]], widths: np.ndarray, kind: type) -> Callable:
+    """``encode`` for many short strings: those with a space in front are encoded in runs."""
+    words = _words_in_runs(encode, widths, kind)
+
+    def ids(strings: list[str]) -> list[bytes]:
+        found: list[bytes] = [b""] * len(strings)
+        spaced = [i for i, s in enumerate(strings) if s[:1] == " "]
+        values, counts = words(pa.array([strings[i][1:] for i in spaced], pa.string()))
+        for i, own in zip(spaced, np.split(values, np.cumsum(counts)[:-1])):
+            found[i] = own.tobytes()
+        rest = [i for i, s in enumerate(strings) if s[:1] != " "]
         for i, raw in zip(rest, encode([strings[i] for i in rest]), strict=True):
             found[i] = raw
         return found
@@ -197,6 +221,19 @@ def _in_runs(encode: Callable[[list[str]], list[bytes]], widths: np.ndarray, kin
     return ids
 
 
+def _together(batches: Iterator[tuple], size: int = TOGETHER) -> Iterator[tuple]:
+    """Batches put together until their texts, the last column, have so many bytes."""
+    held, bytes_ = [], 0
+    for batch in batches:
+        held.append(batch)
+        bytes_ += batch[-1].nbytes
+        if bytes_ >= size:
+            yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+            held, bytes_ = [], 0
+    if held:
+        yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+
+
 _OPEN: dict[tuple, tuple] = {}
 
 
@@ -219,8 +256,9 @@ def _encoder(name: str, shared, split_special: bool) -> tuple[WordMemory, int]:
         vocabulary = tokenizer.get_vocab()
         widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         widths[list(vocabulary.values())] = list(map(len, vocabulary))
-        encode = _in_runs(encode, widths, np.uint16 if planes <= 16 else np.uint32)
-        _OPEN[key] = WordMemory(encode), planes
+        kind = np.uint16 if planes <= 16 else np.uint32
+        words = _words_in_runs(encode, widths, kind)
+        _OPEN[key] = WordMemory(_in_runs(encode, widths, kind), kind, REMEMBERED, words, TOGETHER), planes
     return _OPEN[key]
 
 
@@ -261,16 +299,14 @@ def write_shards(
             doc_ids, starts, parts = [], [0], []
             return row
 
-        for ranges_, ids, texts in batches:
-            strings = texts.to_pylist()
-            for shard, doc_id, values in zip(ranges_.to_pylist(), ids.to_pylist(), memory.values(strings), strict=True):
+        for ranges_, ids, texts in _together(batches):
+            for shard, doc_id, tokens in zip(ranges_.to_pylist(), ids.to_pylist(), memory.ids(texts), strict=True):
                 if doc_ids and (shard != current or size >= SEGMENT):
                     yield closed()
                 if shard != current:
                     current, segment, first = shard, 0, 0
-                raw = b"".join(values) + end
-                parts.append(raw)
-                size += len(raw) // kind().itemsize
+                parts += tokens.tobytes(), end
+                size += len(tokens) + 1
                 doc_ids.append(doc_id or 0)
                 starts.append(size)
         if doc_ids:

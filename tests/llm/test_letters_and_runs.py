@@ -6,11 +6,13 @@ from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tallywood.llm import byte_bpe, language_spans, wavelet_shards
 from tallywood.llm.language_spans import LanguageModel, Labeller, UNDETERMINED, viterbi
+from tallywood.llm.word_memory import WordMemory
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +95,56 @@ def test_words_whose_hashed_tokens_do_not_spell_them_are_encoded_anew(monkeypatc
     right = many._encode
     monkeypatch.setattr(many, "_encode", lambda w, s: [[bpe.ranks[b"a"]] * len(x) for x in right(w, s)])
     assert many.encode(words) == expected
+
+
+ODD_TEXTS = [
+    None, "", " ", "a", " a", "a ", "a  b", "a b a b", "a\tb c", "a \tb", "a\u2003 b", "\na b", "é 漢字 é", "it's 12 ab's <|endoftext|> x",
+    "a b<|endoftext|>c d", "one two " * 40, "x" * 100 + " y " + "x" * 100, "\x1c a", "a\u00a0 b a", " ".join(f"w{i} é{i}" for i in range(900)),
+]
+
+
+@pytest.mark.parametrize("remembered", [1, 20, 5000])
+@pytest.mark.parametrize("slice_size", [1, 200, 2_000_000])
+def test_words_of_a_slice_make_up_the_ids_of_the_library(remembered, slice_size):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        shared = type("Shared", (), {"value": file.read()})
+    memory, _ = wavelet_shards._encoder(f"slices of a test {remembered} {slice_size}", shared, False)
+    memory.remembered, memory.together = remembered, slice_size
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in ODD_TEXTS]
+    for order in ODD_TEXTS, ODD_TEXTS[::-1], ODD_TEXTS:
+        found = [ids.tolist() for ids in memory.ids(pa.array(order, pa.string()))]
+        assert found == (expected if order[0] is None else expected[::-1])
+        assert all(len(word) <= WordMemory.LONGEST for word in memory.words.to_pylist())
+
+
+def test_words_are_looked_up_once_in_a_slice_and_kept_in_arrays():
+    handed = []
+
+    def words(found):
+        handed.extend(found.to_pylist())
+        return np.arange(len(found), dtype=np.uint16), np.ones(len(found), np.int64)
+
+    memory = WordMemory(lambda strings: [np.array([9], np.uint16).tobytes()] * len(strings), np.uint16, 100_000, words)
+    texts = pa.array([f"first {' '.join(f'word{i}' for i in range(60_000))} word7"] * 3)
+    for _ in range(2):
+        assert [ids[-1] for ids in memory.ids(texts)] == [7] * 3
+    assert handed == [f"word{i}" for i in range(60_000)]
+    kept = memory.words.nbytes + memory.ids_of_words.nbytes + memory.counts.nbytes + memory.again.nbytes
+    assert kept < 3_000_000 and not any(isinstance(value, (dict, list, set)) for value in vars(memory).values())
+
+
+def test_batches_are_put_together_by_the_bytes_of_their_texts():
+    batches = [(pa.array([i]), pa.array(["x" * 60 if i else None], pa.string())) for i in range(5)]
+    found = list(wavelet_shards._together(iter(batches), 100))
+    assert [ids.to_pylist() for ids, _ in found] == [[0, 1, 2], [3, 4]]
+    assert list(wavelet_shards._together(iter([]))) == []
+
+
+def test_bpe_of_arrays_and_lists_of_texts():
+    bpe = byte_bpe.PrefixBpe(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    encoder, expected = byte_bpe.TextEncoder(bpe), [bpe.encode(t) for t in ODD_TEXTS]
+    assert list(encoder.encode(ODD_TEXTS)) == expected
+    assert list(encoder.encode(pa.array(["skipped", *ODD_TEXTS])[1:])) == expected
+    assert list(encoder.encode([None])) == [[]] and list(encoder.encode([])) == []
