@@ -25,7 +25,7 @@ from tallywood.llm.common import map_rows
 from tallywood.llm.word_memory import WordMemory
 
 # Words whose tokens a Python worker remembers.
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
